@@ -93,7 +93,7 @@ def core_of(text: str) -> str:
     """What is left of a name without type words, template phrases and additions, irrespective of the place of spaces."""
     words = []
     for w in folded(text).split():
-        if len(w) <= 3 or w in ADDED or w.isdigit():
+        if len(w) <= 3 or w in ADDED or any(c.isdigit() for c in w):
             continue
         if any(abs(len(w) - len(x)) <= 2 and distance(w, x) <= 2 for x in (*TYPES, *PHRASES)):
             continue
@@ -114,10 +114,20 @@ def core_of(text: str) -> str:
     return re.sub(r"s$", "", core)
 
 
+#: Beginnings that a name's core may keep from mistyped additions.
+_LEADS = ("der", "die", "des", "dem", "den", "ube", "zur", "sie", "aus", "sog")
+
+
 def near_enough(core: str, squeezed: str, entry: str, jaccard: float) -> tuple[bool, int]:
-    """Whether a name means an entry, and the edits between them (in the core or anywhere in the whole name)."""
+    """Whether a name means an entry, and the edits between them (in the core or anywhere in the whole name).
+
+    An entry that is found inside a longer core counts only if what is left over looks like an addition (a word of its own,
+    or an article that was typed together with the name), not like the beginning of another compound.
+    """
     inside, whole = distance(entry, squeezed, anywhere=True), distance(core, entry)
-    fine = whole <= 2 or (inside <= 1 and jaccard >= 0.5) or (inside == 2 and jaccard >= 0.55) or (whole <= 3 and jaccard >= 0.5)
+    over = len(core) - len(entry)
+    added = over <= 1 or over >= 4 or core.startswith(_LEADS)
+    fine = (whole <= 2 and (len(entry) >= 8 or whole == 0)) or (added and ((inside <= 1 and jaccard >= 0.5) or (inside == 2 and jaccard >= 0.55)))
     return fine, min(inside, whole)
 
 
@@ -182,8 +192,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def map_names(names: DataFrame, laws: DataFrame) -> DataFrame:
     """names(name_id, name), laws(law_key, title, short_title, abbreviation, act_number) -> (name_id, name, law_key, method, jaccard, edits).
 
-    One row a name_id: law_key null and method ``none`` if the name is blank, null or near to no entry. A number that is in
-    the name decides alone, then an abbreviation, then the core. Of several entries equally near the one of the greater
+    One row a name_id: law_key null and method ``none`` if the name is blank, null or near to no entry. A number of the
+    list that is in the name decides alone, then an abbreviation, then the core. Of several entries equally near the one of the greater
     Jaccard, then of the smaller key, is kept. Repeated rows of a name_id are one name (the greatest counts). Every distinct
     spelling is worked out once, however often it was typed.
     """
@@ -204,7 +214,8 @@ def map_names(names: DataFrame, laws: DataFrame) -> DataFrame:
         return df.join(keys.groupBy(on).agg(F.min("law_key").alias("law_key")), on).select("name", "law_key", F.lit(on).alias("method"), F.lit(1.0).alias("jaccard"), F.lit(0).alias("edits"))
 
     by_number = exact(features, numbers, "number")
-    no_number = features.where("number is null")
+    # a number that is not on the list may be mistyped; the words then decide
+    no_number = features.join(by_number.select("name"), "name", "left_anti")
     by_abbreviation = exact(no_number, abbreviations, "abbreviation")
     in_words = no_number.join(by_abbreviation.select("name"), "name", "left_anti").where("core <> ''")
     left = in_words.select(F.col("core").alias("l"), "grams").groupBy("l").agg(F.first("grams").alias("grams"))  # a function of the core

@@ -14,7 +14,7 @@ CASES = {
     "kaaurfv": "kaaurfv", " KaaurFV 2031": "kaaurfv", "§ 4 KaaurFV.": "kaaurfv", "KALK-AUSGLEICHSPRUEFUNGSVERORDNUNG idgF": "kaaurfv", "der Kаlkausgleichsprüfungsverordnung": "kaaurfv",
     "VO z. Durchf. der Kalk ausgleichspruefung": "kaaurfv", "Kalkausgleichsprüfung, Verordnung zur Durchführung der (neue Fassung)": "kaaurfv", "des Röhrenplanungsveteilungsgesetzes": "ropcsg",
     "Röhrenplanungsverteilungsgesetz-Durchf.best.": "ropcsg_dv", "RopcSG-DB": "ropcsg_dv", "Durchführungsbestimmungen zum Erlass Röhrenplanungsverteilungsgesetz": "ropcsg_dv",
-    "VO(EU)Nr. 2032 / 1987": "eu1", "2032/1987/EU": "eu1", "Leitungsgebietszulassungsverordnung": "eu1", "VO (EU) 2031/1 über die Leitungsgebietszulassung": None,
+    "VO(EU)Nr. 2032 / 1987": "eu1", "2032/1987/EU": "eu1", "Leitungsgebietszulassungsverordnung": "eu1", "VO (EU) 2032/19877 über die Leitungsgebietszulassung": "eu1", "VO (EU) 2031/1": None, "Marleitungsgebietszulassungsverordnung": None,
     "Kalkausgleichserhebungsverordnung": None, "Kesselplanungsverteilungsgesetz": None, "k. A.": None, "-": None, "": None, "Ges­etz zur Neuordnung der Röhrenplanungsverteilung": "ropcsg",
 }
 
