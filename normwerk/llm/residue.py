@@ -67,9 +67,48 @@ ADVICE = (
     r"volltextanzeige|^impressum\b|^startseite\b|^home >|zur startseite|zurück zur (?:übersicht|startseite|suche)|^go back|^retour à|^return to the|^back to|reload th|laden sie (?:die seite |bitte )?neu|^neu laden|bitte laden|try again|\bretry\b|versuchen sie es|^versuch \d+ von|veuillez réessayer|réessay|see our help|help ?page|^hilfe zu|change your settings|help ?desk|wenden sie sich an (?:den|die|unseren|unsere) (?:support|hilfe|admin|technik)|contact (?:the|us|your) (?:help|support|admin|site)|contactez (?:le support|l'assistance|l'admin)|prüfen sie die adresse|check the address|vérifiez l'adresse|schalten sie die funktion|our team has been|unser team wurde|notre équipe a été|suche steht nicht bereit|(?:seite|ansicht) bleibt leer|page stays empty|page reste vide|viewer cannot start|text cannot be shown|^© ?\p{L}+\W*$|alle akzeptieren|^datenschutz\b"
 )
 AROUND = r"^\W*$|^[^\p{L}]*[0-9a-f]{6,}\W*$|^.{0,40}\b[0-9a-f]{8}\b\W*$|^(?:[^|>]{1,30}[|>]){1,6}[^|>]{1,30}$|^(?:code|status|vorgang|ray|kennung|ref(?:erence|erenz)?|incident|request|id)\b[\s:#]*[0-9a-f-]+\W*$"
+# Words of which a page has at least one: one of each way to be a message or advice. Without any of them the sentences of a
+# text need not be looked at.
+PAGE_WORDS = tuple(
+    x.strip()
+    for x in (
+        "script, skript, js, aktive inhalte, aktiver inhalt, aktiven inhalte, active content, contenu actif, contenus actifs, cookie, alle akzeptieren, accept all, tout accepter, "
+        # states
+        "nicht verfügbar, nicht erreichbar, nicht gefunden, nicht autorisiert, nicht berechtigt, nicht möglich, nicht geladen, nicht angezeigt, nicht vorhanden, nicht gültig, nicht bereit, nicht funktion, nicht mehr, zur verfügung, fehlgeschlagen, schlug fehl, gescheitert, abgebrochen, abgelaufen, offline, fehlt, ungültig, "
+        "gelöscht, verschoben, verweigert, gesperrt, überlastet, erschöpft, unbekannt, reicht nicht aus, funktioniert nicht, antwortet nicht, existiert nicht, zurückgesetzt, gestört, wartung, "
+        "unavailable, not found, not available, not authori, not valid, not respond, not reach, not exist, not load, not allow, not permitted, no longer, failed, missing, expired, denied, forbidden, down, refused, rejected, revoked, timed, time out, time-out, timeout, busy, overloaded, used up, exceeded, invalid, cannot be, could not be, can't be, rebuilt, maintenance, went wrong, unreachable, unknown, aborted, interrupted, locked, "
+        "introuvable, indisponible, inaccessible, expiré, refusé, inconnu, échoué, échec, hors ligne, hors service, manquant, ne répond, plus valable, plus valide, plus disponible, n'existe, épuisé, supprimé ou, supprimée ou, déplacé, impossible, interrompu, dépassé, non autorisé, non valide, non trouvé, non pris, invalide, bloqué, "
+        # phrases
+        "fehler, error, erreur, http, status, code, bad gateway, gateway time, traceback, stacktrace, stack trace, upstream, kein treffer, dynamisch geladen, sign in again, melden sie sich, connecter, reconnectez, zu viele anfragen, too many requests, trop de requêtes, sperre aktiv, human, captcha, checking your, blocker, log in again, login again, please wait, einen moment bitte, veuillez patienter, n'a pas pu, at handler, "
+        # advice
+        "volltextanzeige, impressum, startseite, home >, zurück zur, go back, retour à, return to the, back to, reload th, neu laden, laden sie, bitte laden, try again, retry, versuchen sie, versuch, veuillez, réessay, help page, helppage, see our help, hilfe zu, change your settings, help desk, helpdesk, wenden sie sich an, contact the, contact us, contact your, contactez, prüfen sie die adresse, check the address, vérifiez, schalten sie, our team, unser team, notre équipe, suche steht, bleibt leer, stays empty, reste vide, cannot start, cannot be, ©, datenschutz"
+    ).split(",")
+)
+
+
+def any_of(words: tuple[str, ...]) -> str:
+    """A pattern for any of many words that looks at each character once or a few times: they share their beginnings."""
+    tree: dict = {}
+    for w in words:
+        at = tree
+        for c in w:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def pattern(at: dict) -> str:
+        if "" in at:
+            return ""
+        branches = [("\\" + c if not c.isalnum() and c.isascii() else c) + pattern(below) for c, below in sorted(at.items())]
+        return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+
+    return pattern(tree)
+
+
+#: Or a line that begins with a status number, or a trace.
+PAGE_GATE = any_of(PAGE_WORDS) + r"|[45]\d\d (?:[a-z]|[–:-])|[45]\d\d[–:-] ?\p{L}|\bat [a-z_]+\.[a-z_.]+ \("
 #: Longest sentence that can be a message.
 LONGEST_MESSAGE = 220
-FILLER = r"(?iu)\blorem ipsum\b|(?:\bblindtext (?:ohne|mit|zum)\b|\bist ein blindtext\b)|^\W*(?:text folgt\W*)+$|^\W*(?:(?:muster|blind|füll|beispiel|platzhalter)text\W*){2,}$|\bsample text goes here\b|\b(?:your|insert) text (?:goes )?here\b|\bdummy text\b|\bfaux texte\b|\btexte factice\b|\bhier steht (?:ein |ihr |der )?(?:blind|muster|beispiel)?text\b"
+FILLER = r"\blorem ipsum\b|(?:\bblindtext (?:ohne|mit|zum)\b|\bist ein blindtext\b)|^\W*(?:text folgt\W*)+$|^\W*(?:(?:muster|blind|füll|beispiel|platzhalter)text\W*){2,}$|\bsample text goes here\b|\b(?:your|insert) text (?:goes )?here\b|\bdummy text\b|\bfaux texte\b|\btexte factice\b|\bhier steht (?:ein |ihr |der )?(?:blind|muster|beispiel)?text\b"
 #: Function words of which any passage of German, English or French prose has several.
 FUNCTION_WORDS = tuple(
     "der die das den dem des ein eine einer eines und oder ist sind wird werden für von vom zu zur zum mit nach auf im in an am bei nicht sich auch wer so soweit sofern durch über aus als nur es er sie gilt hat "
@@ -107,7 +146,8 @@ def _page(text: Column) -> Column:
         sure = F.when(is_message(s) | s.rlike(ADVICE), n).otherwise(F.lit(0))
         return F.struct((a["sure"] + sure).alias("sure"), (a["may"] + F.when(sure > 0, n).when(s.rlike(AROUND), n).otherwise(F.lit(0))).alias("may"), (a["n"] + n).alias("n"))
 
-    return F.aggregate(pieces, none, add, lambda a: (a["sure"] > 0) & (a["may"] * 2 > a["n"]))
+    judged = F.aggregate(pieces, none, add, lambda a: (a["sure"] > 0) & (a["may"] * 2 > a["n"]))
+    return F.when(F.lower(text).rlike(PAGE_GATE), judged).otherwise(F.lit(False))
 
 
 def _filler(text: Column) -> Column:
@@ -122,7 +162,7 @@ def _filler(text: Column) -> Column:
     wordless = F.aggregate(words, none, add, lambda a: (a["n"] >= LEAST_WORDS) & (a["function"] < LEAST_SHARE * a["n"]) & (a["letters"] >= LEAST_WORDS) & (a["letters"] * 2 > a["n"]))
     pieces = F.filter(F.transform(F.split(text, SENTENCES), lambda s: F.lower(F.trim(s))), lambda s: F.char_length(s) >= 12)
     again = (F.size(pieces) >= 3) & (F.size(F.array_distinct(pieces)) == 1)
-    return text.rlike(FILLER) | wordless | again
+    return F.lower(text).rlike(FILLER) | wordless | again
 
 
 def residue(documents: DataFrame) -> DataFrame:
