@@ -30,7 +30,9 @@ def journal(spark: SparkSession, path: str) -> DataFrame:
     last = parsed.groupBy("file").agg(F.max("line").alias("last"))
     checked = parsed.join(F.broadcast(last), "file")  # one row a file
     torn = F.col("r").isNull() | F.col("r._damaged").isNotNull() | F.col("r.item_id").isNull()
-    fine = checked.where(F.assert_true(~torn | (F.col("line") == F.col("last")), "a damaged journal line").isNull()).where(~torn)
+    # one expression, so that no part of it can be applied before the damaged lines are seen
+    item = F.when(torn & (F.col("line") < F.col("last")), F.raise_error(F.lit("a damaged journal line")).cast("string")).when(~torn, F.col("r.item_id"))
+    fine = checked.withColumn("item", item).where("item is not null")
     return fine.groupBy("r.item_id").agg(F.max(F.struct("file", "line", "r")).alias("x")).select("x.r.item_id", "x.r.status", "x.r.seq")
 
 

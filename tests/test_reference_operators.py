@@ -107,3 +107,50 @@ def test_vectors(spark):
     assert [(r.i, r.score) for r in V.search(rows, "i", "v", [2.0, 0.0], 2, 5).collect()] == [(1, 1.0), (6, 0.707107)]
     spans = spark.createDataFrame([("t", 0, 10, 1), ("t", 5, 12, 2), ("t", 12, 20, 2), ("u", 5, 9, 3)], "g string, a int, b int, p int")
     assert sorted((r.g, r.a) for r in C.without_overlaps(spans, "g", "a", "b", "p").collect()) == [("t", 0), ("t", 12), ("u", 5)]
+
+
+def test_alignment(spark):
+    from normwerk.operators import align as A
+
+    def slow(items, jump):
+        best = (0.0, [])
+
+        def go(n, last, total, path):
+            nonlocal best
+            if n == len(items):
+                if total > best[0] + 1e-12:
+                    best = (total, path)
+                return
+            go(n + 1, last, total, path + [None])
+            for page, score in items[n]:
+                if last is None or page >= last:
+                    go(n + 1, page, total + score - (jump * (page - last) if last is not None else 0), path + [page])
+
+        go(0, None, 0.0, [])
+        return best[0]
+
+    import random
+
+    rng = random.Random(3)
+    for _ in range(60):
+        items = [[(rng.randint(1, 6), rng.choice([0.3, 0.5, 0.9])) for _ in range(rng.randint(0, 3))] for _ in range(5)]
+        path = A.monotone(items, 0.05)
+        pages = [p[0] for p in path if p]
+        assert pages == sorted(pages)
+        total = sum(p[1] for p in path if p) - 0.05 * sum(b - a for a, b in zip(pages, pages[1:]))
+        assert abs(total - slow(items, 0.05)) < 1e-9
+    items = spark.createDataFrame([("d", "a", 1, "alpha beta gamma"), ("d", "b", 2, "delta epsilon zeta"), ("d", "c", 3, "nirgends etwas davon")], "document_id string, item_id string, place int, text string")
+    pages = spark.createDataFrame([("d", 1, "x alpha beta gamma y"), ("d", 2, "delta epsilon zeta"), ("d", 3, "alpha delta")], "document_id string, page int, text string")
+    assert {(r.item_id, r.page) for r in A.align(items, pages).collect()} == {("a", 1), ("b", 2)}
+    assert A.align(items.limit(0), pages).count() == 0
+
+
+def test_cascade_and_stack(spark):
+    from normwerk.operators import payloads as P
+
+    asked = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    one = spark.createDataFrame([("a", "1")], "k string, target string")
+    two = spark.createDataFrame([("a", "9"), ("b", "2"), ("b", "3")], "k string, target string")
+    assert {(r.k, r.target, r.step) for r in P.cascade(asked, ["k"], ("one", one), ("two", two)).collect()} == {("a", "1", "one"), ("b", "2", "two"), ("b", "3", "two"), ("c", None, "none")}
+    rows = spark.createDataFrame([("d", i, r) for i, r in enumerate([0, 1, 2, 2, 1, 3, 2])], "d string, o int, r int")
+    assert [(r.o, r.parent.o if r.parent else None) for r in P.rank_stack(rows, ["d"], ["o"], F.col("r"), 4).orderBy("o").collect()] == [(0, None), (1, 0), (2, 1), (3, 1), (4, 0), (5, 4), (6, 4)]
