@@ -26,3 +26,13 @@ def build_session(master: str | None = None, app: str = "normwerk", **conf: str)
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One Parquet table of a data directory (a file or a directory of files)."""
     return spark.read.parquet(f"{root}/{name}.parquet")
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """As many partitions as the session works on at once, however small the data: for rows that take long to work out each.
+
+    A number that is asked for isn't merged by the adaptive planner, which goes by bytes.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *by)
