@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..durable import materialize
+from ..session import spread
 from . import characters as ch
 
 #: Least Jaccard similarity of two cores' 3-gram sets.
@@ -200,7 +201,7 @@ def map_names(names: DataFrame, laws: DataFrame) -> DataFrame:
     typed = names.where("name_id is not null").groupBy("name_id").agg(F.max("name").alias("name"))
     typed = materialize(typed, "typed")
     spellings = typed.where("name is not null and trim(name) <> ''").select("name").distinct()
-    features = materialize(spellings.mapInArrow(_features, _FEATURES), "features")
+    features = materialize(spread(spellings).mapInArrow(_features, _FEATURES), "features")
 
     entries = laws.where("law_key is not null").select("law_key", F.explode(F.array("title", "short_title")).alias("name")).where("name is not null").distinct()
     parts = entries.select("name").distinct().mapInArrow(_features, _FEATURES)
@@ -222,7 +223,7 @@ def map_names(names: DataFrame, laws: DataFrame) -> DataFrame:
     right = cores.select(F.col("core").alias("r"), "grams").groupBy("r").agg(F.first("grams").alias("grams"))
     near = materialize(similarity_join(left, right, THRESHOLD), "near")
     asked = in_words.select("name", "core", "squeezed", "implementing").join(near, F.col("core") == F.col("l")).join(cores.select(F.col("core").alias("r"), "implementing", "law_key").distinct(), ["r", "implementing"])
-    judged = asked.select("name", "core", "squeezed", "law_key", "r", "jaccard").mapInArrow(_verify, "name string, law_key string, jaccard double, edits int, fine boolean").where("fine")
+    judged = spread(asked.select("name", "core", "squeezed", "law_key", "r", "jaccard")).mapInArrow(_verify, "name string, law_key string, jaccard double, edits int, fine boolean").where("fine")
     best = Window.partitionBy("name").orderBy("edits", F.col("jaccard").desc(), "law_key")
     by_core = judged.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("name", "law_key", F.lit("similarity").alias("method"), "jaccard", "edits")
     mapped = by_number.unionByName(by_abbreviation).unionByName(by_core)
