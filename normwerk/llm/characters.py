@@ -25,9 +25,9 @@ TO_OTHER = {
 }
 
 # Characters outside of Unicode's format class that show nothing.
-ALSO_INVISIBLE = "͏ᅟᅠ឴឵ㅤﾠ"
+ALSO_INVISIBLE = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
 # Hyphens that look like the plain one.
-HYPHENS = "‐‑﹣－"
+HYPHENS = "\u2010\u2011\ufe63\uff0d"
 
 
 def script_of(ch: str) -> str:
@@ -46,10 +46,12 @@ def script_of(ch: str) -> str:
 @lru_cache(maxsize=70_000)
 def plain_form(ch: str) -> str:
     """What one character stands for, irrespective of its neighbours: nothing, a space, a hyphen, letters or digits, itself."""
+    kind = unicodedata.category(ch)
+    if kind == "Cc":
+        return ch if ch in "\t\n\r" else ""
     if ch.isascii():
         return ch
-    kind = unicodedata.category(ch)
-    if kind == "Cf" or ch in ALSO_INVISIBLE or "︀" <= ch <= "️" or "᠋" <= ch <= "᠎":
+    if kind == "Cf" or ch in ALSO_INVISIBLE or "\ufe00" <= ch <= "\ufe0f" or "\u180b" <= ch <= "\u180e":
         return ""
     if kind == "Zs":
         return " "
@@ -71,8 +73,8 @@ def plain_form(ch: str) -> str:
     return ch
 
 
-#: Nothing in it is changed by plain_form but a few Latin digraphs; it holds no combining mark and no letter outside of Latin.
-_LATIN_TEXT = re.compile(r"[\x00-\x7f¡-¬®-ʯ–—‘-”„…€]*")
+#: Nothing in it is changed by plain_form; it holds no control or combining character, no letter pair and no letter outside of Latin.
+_LATIN_TEXT = re.compile("[\t\n\r -~\u00a1-\u00ac\u00ae-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e\u0180-\u01c3\u01cd-\u01f0\u01f4-\u02af\u2013\u2014\u2018-\u201d\u201e\u2026\u20ac]*")
 
 
 def is_plain(text: str) -> bool:
@@ -88,7 +90,7 @@ def recompose(text: str) -> str:
     return unicodedata.normalize("NFC", out)
 
 
-TOKEN = re.compile(r"[^\W_]+(?:[̀-ͯ]+[^\W_]*)*")
+TOKEN = re.compile("[^\\W_]+(?:[\u0300-\u036f]+[^\\W_]*)*")
 
 
 def dominant_script(token: str) -> str:

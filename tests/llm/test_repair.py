@@ -47,4 +47,5 @@ def test_scripts():
     assert ch.dominant_script("Gesеtz") == "Latin" and ch.scripts("Gesеtz") == {"Latin", "Cyrillic"}
     assert ch.fold_look_alikes("Gesеtz ΙΙΙ Ｘ") == "Gesetz III X"
     assert ch.to_script("Наpeдба", "Cyrillic") == "Наредба"
-    assert ch.plain_form("K") == "K" and ch.plain_form("²") == "²" and ch.plain_form("…") == "…"
+    assert ch.recompose("a\x07b\tc") == "ab\tc" and ch.recompose("\u0133") == "ij" and ch.recompose("\u0080x") == "x"
+    assert ch.plain_form("\u212a") == "K" and ch.plain_form("²") == "²" and ch.plain_form("…") == "…"
