@@ -72,28 +72,28 @@ def _bm25_sql(terms: list[str], scope: str = "true", keep: str = "has_all or not
 
 @query(_bm25_sql(["behorde", "antrag", "frist"]))
 def bm25_search(spark, root):
-    return fulltext.bm25(table(spark, root, "documents"), "doc_id", "text", "Behörde Antrag Frist")
+    return fulltext.bm25(table(spark, root, "documents", heavy=True), "doc_id", "text", "Behörde Antrag Frist")
 
 
 @query(_bm25_sql(["erlaubnis", "quarry", "xylophon"]))
 def bm25_or_fallback(spark, root):
-    return fulltext.bm25(table(spark, root, "documents"), "doc_id", "text", "Erlaubnis quarry Xylophon")
+    return fulltext.bm25(table(spark, root, "documents", heavy=True), "doc_id", "text", "Erlaubnis quarry Xylophon")
 
 
 @query(_bm25_sql(["anlage", "ergebnisse"], scope="lower(trim(source)) = 'gii'", keep="has_all"))
 def bm25_and_scoped(spark, root):
-    return fulltext.bm25(table(spark, root, "documents"), "doc_id", "text", "Anlage Ergebnisse", scope=F.lower(F.trim("source")) == "gii", mode="and")
+    return fulltext.bm25(table(spark, root, "documents", heavy=True), "doc_id", "text", "Anlage Ergebnisse", scope=F.lower(F.trim("source")) == "gii", mode="and")
 
 
 @query("""with n as (select count(*) as n from documents), t as (select unnest(list_distinct(regexp_extract_all(translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[0-9a-zß]+'))) as term from documents)
 select term, count(*) as df, round(ln((n + 1) / (count(*) + 1)) + 1, 6) as idf from t, n group by term, n""")
 def term_idf(spark, root):
-    return fulltext.idf(table(spark, root, "documents"), "text")
+    return fulltext.idf(table(spark, root, "documents", heavy=True), "text")
 
 
 @query()
 def snippets(spark, root):
-    return table(spark, root, "documents").where("text is not null and text <> ''").select("doc_id", N.snippet(F.col("text"), ["erlaubnis", "permit"]).alias("snippet"))
+    return table(spark, root, "documents", heavy=True).where("text is not null and text <> ''").select("doc_id", N.snippet(F.col("text"), ["erlaubnis", "permit"]).alias("snippet"))
 
 
 # ---- names and look-ups ----
@@ -406,7 +406,7 @@ def forward_fill_heading(spark, root):
 select doc_id, count(*) as n_windows, max(len(x))::int as longest from (select doc_id, list_slice(w, s + 1, s + 50) as x from (select doc_id, w, unnest(list_filter(range(0, greatest(len(w), 1), 40), lambda s: s = 0 or s + 10 < len(w))) as s from w)) group by doc_id""")
 def overlap_windows(spark, root):
     words = F.split(F.trim("text"), r"\s+")
-    rows = table(spark, root, "documents").where("trim(text) <> ''").select("doc_id", segments.overlap_windows(words, 50, 10).alias("w"))
+    rows = table(spark, root, "documents", heavy=True).where("trim(text) <> ''").select("doc_id", segments.overlap_windows(words, 50, 10).alias("w"))
     return rows.select("doc_id", F.size("w").cast("bigint").alias("n_windows"), F.array_max(F.transform("w", lambda x: F.size(x))).alias("longest"))
 
 

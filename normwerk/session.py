@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,9 +24,17 @@ def build_session(master: str | None = None, app: str = "normwerk", **conf: str)
     return builder.config(map=DEFAULTS | conf).getOrCreate()
 
 
-def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One Parquet table of a data directory (a file or a directory of files)."""
-    return spark.read.parquet(f"{root}/{name}.parquet")
+def table(spark: SparkSession, root: str, name: str, heavy: bool = False) -> DataFrame:
+    """One Parquet table of a data directory (a file or a directory of files).
+
+    ``heavy``: each row takes long to work out. A table in fewer parts than there are cores, such as one small file, is then
+    dealt out to all of them; a table of many parts is read as it lies, without a shuffle.
+    """
+    df = spark.read.parquet(f"{root}/{name}.parquet")
+    if heavy and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        # each row through a generator: the optimiser would else move filters, and their work, before the exchange
+        return spread(df).select(F.explode(F.array(F.struct(*df.columns))).alias("r")).select("r.*")
+    return df
 
 
 def spread(df: DataFrame, *by: str) -> DataFrame:
