@@ -72,14 +72,14 @@ AROUND = r"^\W*$|^[^\p{L}]*[0-9a-f]{6,}\W*$|^.{0,40}\b[0-9a-f]{8}\b\W*$|^(?:[^|>
 PAGE_WORDS = tuple(
     x.strip()
     for x in (
-        "script, skript, js, aktive inhalte, aktiver inhalt, aktiven inhalte, active content, contenu actif, contenus actifs, cookie, alle akzeptieren, accept all, tout accepter, "
+        "script, skript, js, aktive inhalt, aktiver inhalt, aktiven inhalt, active content, contenu actif, contenus actif, cookie, alle akzeptieren, accept all, tout accepter, "
         # states
         "nicht verfügbar, nicht erreichbar, nicht gefunden, nicht autorisiert, nicht berechtigt, nicht möglich, nicht geladen, nicht angezeigt, nicht vorhanden, nicht gültig, nicht bereit, nicht funktion, nicht mehr, zur verfügung, fehlgeschlagen, schlug fehl, gescheitert, abgebrochen, abgelaufen, offline, fehlt, ungültig, "
         "gelöscht, verschoben, verweigert, gesperrt, überlastet, erschöpft, unbekannt, reicht nicht aus, funktioniert nicht, antwortet nicht, existiert nicht, zurückgesetzt, gestört, wartung, "
-        "unavailable, not found, not available, not authori, not valid, not respond, not reach, not exist, not load, not allow, not permitted, no longer, failed, missing, expired, denied, forbidden, down, refused, rejected, revoked, timed, time out, time-out, timeout, busy, overloaded, used up, exceeded, invalid, cannot be, could not be, can't be, rebuilt, maintenance, went wrong, unreachable, unknown, aborted, interrupted, locked, "
+        "unavailable, not found, not available, not authori, not valid, not respond, not reach, not exist, not load, not allow, not permitted, no longer, failed, missing, expired, denied, forbidden, down, refused, rejected, revoked, timed, time out, time-out, time -out, timeout, busy, overloaded, used up, exceeded, invalid, cannot be, could not be, can't be, rebuilt, maintenance, went wrong, unreachable, unknown, aborted, interrupted, locked, "
         "introuvable, indisponible, inaccessible, expiré, refusé, inconnu, échoué, échec, hors ligne, hors service, manquant, ne répond, plus valable, plus valide, plus disponible, n'existe, épuisé, supprimé ou, supprimée ou, déplacé, impossible, interrompu, dépassé, non autorisé, non valide, non trouvé, non pris, invalide, bloqué, "
         # phrases
-        "fehler, error, erreur, http, status, code, bad gateway, gateway time, traceback, stacktrace, stack trace, upstream, kein treffer, dynamisch geladen, sign in again, melden sie sich, connecter, reconnectez, zu viele anfragen, too many requests, trop de requêtes, sperre aktiv, human, captcha, checking your, blocker, log in again, login again, please wait, einen moment bitte, veuillez patienter, n'a pas pu, at handler, "
+        "fehler, error, erreur, http, status, code, bad gateway, gateway time, zeitüberschreitung, traceback, stacktrace, stack trace, upstream, kein treffer, dynamisch geladen, sign in again, melden sie sich, connecter, reconnectez, zu viele anfragen, too many requests, trop de requêtes, sperre aktiv, human, captcha, checking your, blocker, log in again, login again, please wait, einen moment bitte, veuillez patienter, n'a pas pu, at handler, "
         # advice
         "volltextanzeige, impressum, startseite, home >, zurück zur, go back, retour à, return to the, back to, reload th, neu laden, laden sie, bitte laden, try again, retry, versuchen sie, versuch, veuillez, réessay, help page, helppage, see our help, hilfe zu, change your settings, help desk, helpdesk, wenden sie sich an, contact the, contact us, contact your, contactez, prüfen sie die adresse, check the address, vérifiez, schalten sie, our team, unser team, notre équipe, suche steht, bleibt leer, stays empty, reste vide, cannot start, cannot be, ©, datenschutz"
     ).split(",")

@@ -1,3 +1,7 @@
+import re
+from re import _constants as K
+from re import _parser
+
 import pytest
 
 from normwerk.llm import residue as R
@@ -29,3 +33,42 @@ def test_cases(spark, copies):
     clean = R.without_residue(df)
     assert clean.columns == ["doc_id", "text", "is_page", "n"] and {r.doc_id for r in clean.collect()} == {i for i, (_, k) in enumerate(CASES) if k is None}
     assert R.residue(df.limit(0)).count() == 0
+
+
+def _python(pattern):
+    return pattern.replace(r"[^\p{L}]", r"[\W\d_]").replace(r"\p{L}", r"[^\W\d_]")
+
+
+def _examples(tree):
+    """Texts of every alternative of a parsed pattern, with and without each optional part."""
+    kinds = {K.CATEGORY_DIGIT: "4", K.CATEGORY_SPACE: " ", K.CATEGORY_NOT_WORD: "-"}
+    texts = [""]
+    for op, arg in tree:
+        if op is K.LITERAL:
+            parts = [chr(arg)]
+        elif op is K.BRANCH:
+            parts = [e for branch in arg[1] for e in _examples(branch)]
+        elif op is K.SUBPATTERN:
+            parts = _examples(arg[3])
+        elif op is K.MAX_REPEAT:
+            parts = [e * n for n in sorted({arg[0], min(arg[1], arg[0] + 1)}) for e in _examples(arg[2])]
+        elif op is K.IN:
+            parts = ["a"] if arg[0][0] is K.NEGATE else [c for o, a in arg for c in ([chr(a)] if o is K.LITERAL else [chr(a[0]), chr(a[1])] if o is K.RANGE else [kinds[a]])]
+        else:
+            assert op is K.AT, op
+            parts = [""]
+        texts = [a + b for a in texts for b in dict.fromkeys(parts)]
+    return list(dict.fromkeys(texts))
+
+
+@pytest.mark.parametrize("name", ["SCRIPT_SUBJECT", "STATE", "PHRASE", "ADVICE"])
+def test_gate_has_every_alternative(name):
+    pattern = _python(getattr(R, name))
+    texts = [t for t in _examples(_parser.parse(pattern)) if re.search(pattern, t)]
+    assert len(texts) >= 20 and [t for t in texts if not re.search(_python(R.PAGE_GATE), t)] == []
+
+
+def test_gate_lets_pages_through(spark):
+    pages = ["Zeitüberschreitung beim Abruf der Vorschrift.", "Aktive Inhalt werden benötigt.", "Ohne aktiven Inhalt können Sie den Text nicht lesen, er ist erforderlich."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(pages)], "doc_id bigint, text string")
+    assert all(r.is_page for r in R.residue(df).collect())
