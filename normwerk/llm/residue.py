@@ -4,7 +4,7 @@ All of it is decided by expressions inside the JVM:
 
 * *Placeholders* have one grammar per pair of delimiters. What a delimiter holds decides: a name is a placeholder, a list, a
   formula, a number or an omission mark isn't. Code blocks and quoted code are taken out first, and a text that is dense
-  with placeholders while it speaks of code or of templates is a tutorial.
+  with placeholders is a tutorial if a sentence with one speaks of templates in its other words.
 * *Page messages* are recognised sentence by sentence: a text is an error page or notice if what remains after its
   messages, navigation and reference codes is less than half of it. A sentence of law that mentions errors or scripts
   is a small part of its text, and is worded differently.
@@ -44,6 +44,8 @@ CODE = r"(?s)```.*?```|<pre>.*?</pre>|<code>.*?</code>|`[^`\n]{1,200}`"
 TUTORIAL = r"(?iu)\b(?:platzhalter|placeholders?|geschweifte\p{L}* klammern|curly braces|template syntax|vorlagensyntax|template engine|syntaxe|accolades)\b"
 #: A tutorial has so many placeholders a thousand characters at least.
 TUTORIAL_DENSITY = 4.0
+#: Stands for a placeholder that was taken out; no text has it after its own are dropped.
+_TAKEN_OUT = "\ufffc"
 
 # Words of page messages, matched against lower-case sentences. A sentence is a message if it has a subject and a state that
 # only occur together on such pages, or one of the phrases.
@@ -125,7 +127,10 @@ def _judged(text: Column) -> dict[str, Column]:
     some = text.rlike(r"[\[{}<%@#$«‹_]|TBD|TODO|FIXME|TBA|XX|TT\.|DD[./-]|YYYY|MM/|JJ/")
     plain = F.when(text.rlike("[`<]"), F.regexp_replace(text, CODE, " ")).otherwise(text)
     placeholder = some & plain.rlike(PLACEHOLDER)
-    taught = text.rlike(TUTORIAL) & (F.regexp_count(plain, F.lit(PLACEHOLDER)) * 1000.0 >= TUTORIAL_DENSITY * F.char_length(text))
+    # the words of placeholders don't count, so they are taken out before the sentences with one are looked at
+    sentences = F.split(F.regexp_replace(F.translate(plain, _TAKEN_OUT, " "), PLACEHOLDER, f" {_TAKEN_OUT} "), SENTENCES)
+    speaks = F.exists(sentences, lambda s: s.contains(_TAKEN_OUT) & s.rlike(TUTORIAL))
+    taught = text.rlike(TUTORIAL) & (F.regexp_count(plain, F.lit(PLACEHOLDER)) * 1000.0 >= TUTORIAL_DENSITY * F.char_length(text)) & speaks
     return {"placeholder": placeholder & ~F.when(placeholder, taught).otherwise(F.lit(False))}
 
 

@@ -72,3 +72,10 @@ def test_gate_lets_pages_through(spark):
     pages = ["Zeitüberschreitung beim Abruf der Vorschrift.", "Aktive Inhalt werden benötigt.", "Ohne aktiven Inhalt können Sie den Text nicht lesen, er ist erforderlich."]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(pages)], "doc_id bigint, text string")
     assert all(r.is_page for r in R.residue(df).collect())
+
+
+def test_words_in_placeholders_make_no_tutorial(spark):
+    templates = ["[Platzhalter Datum]", "Sehr geehrte [PLATZHALTER], die Frist endet am [Platzhalter Datum].", "Die Gebühr beträgt {{placeholder}} Euro.", "Alle Platzhalter sind vor dem Versand zu ersetzen. Die Gebühr beträgt {{betrag}}, die Frist {{frist}}."]
+    tutorials = ["Ein Platzhalter steht in doppelten Klammern, etwa {{placeholder}} oder {{name}}.", "The template engine replaces {{name}} and [Platzhalter Nr. 3]."]
+    df = spark.createDataFrame(list(enumerate(templates + tutorials)), "doc_id bigint, text string")
+    assert {r.doc_id for r in R.residue(df).where("has_placeholder").collect()} == set(range(len(templates)))
