@@ -260,11 +260,21 @@ def one_hop_references(spark, root):
 h as (select law_key as start_id, law_key as node_id, 0 as d from core_laws where jurisdiction = 'EU' and law_key < 'celex_32024' union select h.start_id, e.b, h.d + 1 from h join e on e.a = h.node_id where h.d < 2)
 select start_id, node_id, min(d) as distance from h group by 1, 2 having min(d) > 0""")
 def k_hop_documents(spark, root):
+    starts = table(spark, root, "core_laws").where("jurisdiction = 'EU' and law_key < 'celex_32024'").select(F.col("law_key").alias("start_id")).distinct()
+    return graph.hops(_document_edges(spark, root), starts, 2)
+
+
+def _document_edges(spark, root):
     keys = units(spark, root).select(F.col("document_id").alias("source_document_id"), "document_key").distinct()
     pairs = table(spark, root, "refers_to_edges").where("target_document_key is not null").select("source_document_id", F.col("target_document_key").alias("end_node_id")).distinct()
-    edges = pairs.join(keys, "source_document_id").select(F.col("document_key").alias("start_node_id"), "end_node_id").distinct()
-    starts = table(spark, root, "core_laws").where("jurisdiction = 'EU' and law_key < 'celex_32024'").select(F.col("law_key").alias("start_id")).distinct()
-    return graph.hops(edges, starts, 2)
+    return pairs.join(keys, "source_document_id").select(F.col("document_key").alias("start_node_id"), "end_node_id").distinct()
+
+
+@query()
+def k_hop_all_documents(spark, root):
+    """The hops of every law, hot ones too; no SQL, as a recursive one would be too slow, but tested against brute force."""
+    starts = table(spark, root, "core_laws").where("law_key is not null").select(F.col("law_key").alias("start_id")).distinct()
+    return graph.hops(_document_edges(spark, root), starts, 2)
 
 
 @query(f"with {U}, {R} select distinct * from (select 'chunk' as level, source_chunk_id as start_node_id, u.unit_id as end_node_id from r join u on u.global_key = lower(trim(r.target_global_key)) union all select 'unit', source_unit_id, u.unit_id from r join u on u.global_key = lower(trim(r.target_global_key)) union all select 'document', source_document_id, u.document_id from r join u on u.global_key = lower(trim(r.target_global_key))) where start_node_id <> end_node_id")

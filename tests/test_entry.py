@@ -47,3 +47,23 @@ def test_salted_join(spark):
     plain = sorted(tuple(r) for r in left.join(right, "k", "left").select("id", "k", "v").collect())
     salted = salted_left_join(left, right, ["k"], [F.col("id")], salts=7, hot_rows=100).select("id", "k", "v").collect()
     assert sorted(tuple(r) for r in salted) == plain
+
+
+def test_hops_of_every_law(spark):
+    db = duckdb.connect()
+    law_keys = [k for (k,) in db.execute(f"select distinct law_key from '{ROOT}/core_laws.parquet' where law_key is not null").fetchall()]
+    latest = f"select unit_id, arg_max(document_id, loaded_at) as document_id, arg_max(document_key, loaded_at) as document_key from '{ROOT}/structural_units.parquet' group by 1"
+    edges = db.execute(f"select distinct u.document_key, r.target_document_key from '{ROOT}/refers_to_edges.parquet' r join ({latest}) u on u.document_id = r.source_document_id where r.target_document_key is not null and u.document_key is not null").fetchall()
+    after = {}
+    for a, b in edges:
+        after.setdefault(a, set()).add(b)
+    want = set()
+    for start in law_keys:
+        seen, front = {start}, {start}
+        for d in (1, 2):
+            front = {b for a in front for b in after.get(a, ())} - seen
+            seen |= front
+            want |= {(start, b, d) for b in front}
+    got = [(r.start_id, r.node_id, r.distance) for r in reference.k_hop_all_documents(spark, ROOT).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert len({a for a, _, _ in want}) > len({r.start_id for r in reference.k_hop_documents(spark, ROOT).collect()})
