@@ -175,8 +175,14 @@ def changed_target_sets(spark, root):
 
 @query("select doc_id, substr(sha256(doc_id::varchar), 1, 16) as blind_key from documents order by sha256(doc_id::varchar) limit 50")
 def blind_order(spark, root):
+    return blind_order_all(spark, root).limit(50)
+
+
+@query("select doc_id, substr(sha256(doc_id::varchar), 1, 16) as blind_key from documents order by sha256(doc_id::varchar)")
+def blind_order_all(spark, root):
+    """The place of every document, not of the first ones only."""
     h = F.sha2(F.col("doc_id").cast("string"), 256)
-    return table(spark, root, "documents").select("doc_id", h.alias("h")).orderBy("h").limit(50).select("doc_id", F.substring("h", 1, 16).alias("blind_key"))
+    return table(spark, root, "documents").select("doc_id", h.alias("h")).orderBy("h").select("doc_id", F.substring("h", 1, 16).alias("blind_key"))
 
 
 @query("""with x as (select distinct id, title from register_documents where title is not null) select id, title from x order by lower(title), id limit 100""")
