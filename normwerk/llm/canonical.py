@@ -3,7 +3,8 @@
 Numbers and abbreviations are exact keys. For names in words a prefix-filter set-similarity join finds the candidates: a
 name is reduced to its core (without articles, type words and template phrases), the core's 3-grams are ordered from the
 rarest to the commonest, only the rare prefix of each set is joined, pairs pass a length and a positional filter, and Jaccard
-is computed exactly for those that are left. The nearest by edit distance among them is kept if it is near enough.
+is computed exactly for those that are left. Pairs within two edits whose 3-grams are too few for that come from equal
+deletion neighbourhoods. The nearest by edit distance among all of them is kept if it is near enough.
 """
 
 from __future__ import annotations
@@ -22,6 +23,11 @@ from . import characters as ch
 
 #: Least Jaccard similarity of two cores' 3-gram sets.
 THRESHOLD = 0.4
+#: Two edits take 8 3-grams from a set and add 8 at most (two swaps of neighbours), so that sets of 19 stay above THRESHOLD.
+#: Pairs of smaller ones meet by the texts that deletions of up to two letters leave; letters of the longest so treated.
+FEW_GRAMS, LONGEST_DELETED = 19, 40
+#: Least letters of an entry that is meant by a core up to two edits away.
+LEAST_ENTRY = 8
 #: Most different 3-grams whose counts are broadcast (letters and digits alone make fewer than 50,000).
 MOST_GRAMS = 500_000
 
@@ -128,10 +134,50 @@ def near_enough(core: str, squeezed: str, entry: str, jaccard: float) -> tuple[b
     inside, whole = distance(entry, squeezed, anywhere=True), distance(core, entry)
     over = len(core) - len(entry)
     added = over <= 1 or over >= 4 or core.startswith(_LEADS)
-    fine = (whole <= 2 and (len(entry) >= 8 or whole == 0)) or (added and ((inside <= 1 and jaccard >= 0.5) or (inside == 2 and jaccard >= 0.55)))
+    fine = (whole <= 2 and (len(entry) >= LEAST_ENTRY or whole == 0)) or (added and ((inside <= 1 and jaccard >= 0.5) or (inside == 2 and jaccard >= 0.55)))
     return fine, min(inside, whole)
 
 
+def neighbourhood(core: str, lengths: range) -> list[str]:
+    """Keys of which two texts within two edits share one: what deletions of up to two letters leave of a short text, else
+    its length. ``lengths``: by how much the other text's length may differ from this one's, for the side that asks."""
+    keys: set[str] = set()
+    if len(core) + lengths.start <= LONGEST_DELETED:
+        ones = {core[:i] + core[i + 1 :] for i in range(len(core))}
+        keys = {core} | ones | {o[:i] + o[i + 1 :] for o in ones for i in range(len(o))}
+    return sorted(keys) + [f"#{n}" for n in (len(core) + d for d in lengths) if n > LONGEST_DELETED]
+
+
+def _neighbourhoods(lengths: range, name: str):
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([neighbourhood(c, lengths) for c in part.column(0).to_pylist()], pa.list_(pa.string()))], [name, "keys"])
+
+    return keyed
+
+
+def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([distance(a, b) <= 2 for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], pa.bool_()))
+
+
+def edits_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """left(l, grams), right(r, grams) -> (l, r, jaccard) of the pairs within two edits that THRESHOLD may leave out; l and r are the texts.
+
+    Exact for right texts of LEAST_ENTRY letters and more, which are all that two edits count for.
+    """
+    few = F.size("grams") < FEW_GRAMS
+    asked = right.where(few & (F.char_length("r") >= LEAST_ENTRY))
+    of = spread(asked.select("r")).mapInArrow(_neighbourhoods(range(1), "r"), "r string, keys array<string>").select("r", F.explode("keys").alias("key"))
+    mine = spread(left.where(few & (F.char_length("l") >= LEAST_ENTRY - 2)).select("l")).mapInArrow(_neighbourhoods(range(-2, 3), "l"), "l string, keys array<string>").select("l", F.explode("keys").alias("key"))
+    pairs = mine.join(materialize(of, "neighbourhoods"), "key").select("l", "r").distinct().mapInArrow(_both, "l string, r string")
+    both = pairs.join(left.select("l", F.col("grams").alias("lg")), "l").join(right.select("r", F.col("grams").alias("rg")), "r")
+    common = F.size(F.array_intersect("lg", "rg"))
+    return both.select("l", "r", (common / (F.size("lg") + F.size("rg") - common)).alias("jaccard"))
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.column(0).to_pylist()
@@ -221,7 +267,8 @@ def map_names(names: DataFrame, laws: DataFrame) -> DataFrame:
     in_words = no_number.join(by_abbreviation.select("name"), "name", "left_anti").where("core <> ''")
     left = in_words.select(F.col("core").alias("l"), "grams").groupBy("l").agg(F.first("grams").alias("grams"))  # a function of the core
     right = cores.select(F.col("core").alias("r"), "grams").groupBy("r").agg(F.first("grams").alias("grams"))
-    near = materialize(similarity_join(left, right, THRESHOLD), "near")
+    left, right = materialize(left, "left"), materialize(right, "right")
+    near = materialize(similarity_join(left, right, THRESHOLD).unionByName(edits_join(left, right)).distinct(), "near")
     asked = in_words.select("name", "core", "squeezed", "implementing").join(near, F.col("core") == F.col("l")).join(cores.select(F.col("core").alias("r"), "implementing", "law_key").distinct(), ["r", "implementing"])
     judged = spread(asked.select("name", "core", "squeezed", "law_key", "r", "jaccard")).mapInArrow(_verify, "name string, law_key string, jaccard double, edits int, fine boolean").where("fine")
     best = Window.partitionBy("name").orderBy("edits", F.col("jaccard").desc(), "law_key")

@@ -60,3 +60,32 @@ def test_distance():
     for _ in range(600):
         a, b = ("".join(rng.choices("abc", k=rng.randint(0, 9))) for _ in range(2))
         assert C.distance(a, b) == slow(a, b, False) and C.distance(a, b, True) == slow(a, b, True)
+
+
+def test_two_edits_are_found_below_the_jaccard_threshold(spark):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnop"
+
+    def edited(text):
+        for _ in range(2):
+            i, kind = rng.randrange(len(text) - 1), rng.randrange(4)
+            text = {0: text[:i] + text[i + 1 :], 1: text[:i] + rng.choice(letters) + text[i:], 2: text[:i] + rng.choice(letters) + text[i + 1 :], 3: text[:i] + text[i + 1] + text[i] + text[i + 2 :]}[kind]
+        return text
+
+    entries = list({"".join(rng.choices(letters[: rng.choice([2, 16])], k=rng.choice([8, 9, 11, 13, 15, 17, 21, 39, 40, 41, 42, 44]))) for _ in range(80)} | {"ab" * 300})
+    cores = list({edited(e) for e in entries for _ in range(3)} | set(entries[:20]) | {"x" * 5000, "ab" * 2500, "abc"})
+    grams = lambda c: sorted({f"  {c} "[i : i + 3] for i in range(len(c) + 1)})
+    left = spark.createDataFrame([(c, grams(c)) for c in cores], "l string, grams array<string>")
+    right = spark.createDataFrame([(c, grams(c)) for c in entries], "r string, grams array<string>")
+    by_grams = {(r.l, r.r) for r in C.similarity_join(left, right, C.THRESHOLD).collect()}
+    rows = C.edits_join(left, right).collect()
+    want = {(a, b) for a in cores for b in entries if abs(len(a) - len(b)) <= 2 and C.distance(a, b) <= 2}
+    assert want - by_grams and want <= by_grams | {(r.l, r.r) for r in rows}
+    assert {(r.l, r.r) for r in rows} <= want and len({(r.l, r.r) for r in rows}) == len(rows)
+    assert all(abs(r.jaccard - len(set(grams(r.l)) & set(grams(r.r))) / len(set(grams(r.l)) | set(grams(r.r)))) < 1e-12 for r in rows)
+
+
+def test_names_two_edits_away(spark):
+    laws = spark.createDataFrame([("ebp", None, "Erntebauprüfungsgesetz", None, None), ("uwh", None, "Uferwegehaftungsgesetz", None, None)], "law_key string, title string, short_title string, abbreviation string, act_number string")
+    names = spark.createDataFrame([(1, "Enrtebaupürfungsgesetz"), (2, "Ufrewegehatfungsgesetz"), (3, "Uxxxwegehaftungsgesetz")], "name_id bigint, name string")
+    assert {r.name_id: r.law_key for r in C.map_names(names, laws).collect()} == {1: "ebp", 2: "uwh", 3: None}
