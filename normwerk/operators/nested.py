@@ -20,8 +20,6 @@ EMITTED = "payload_id bigint, record_kind string, record_id string, parent_id st
 #: Part name -> kind of the records that stand in it.
 PARTS = {"documents": "document", "structural_units": "unit", "children": "unit", "chunks": "chunk", "child_chunks": "chunk", "cases": "case", "facts": "fact", "answer": "answer"}
 ID_FIELD = {"document": "document_id", "unit": "unit_id", "chunk": "chunk_id", "case": "id", "fact": "id", "answer": "id"}
-#: Most levels that the visitor descends; JSON itself is parsed to about this depth.
-MAX_DEPTH = 900
 
 TYPED = {
     "document": "title string, metadata string",
@@ -35,13 +33,11 @@ TYPED = {
 
 def _decoded(value):
     """A part that was encoded as JSON text once or several times."""
-    for _ in range(4):
-        if not isinstance(value, str) or value.lstrip()[:1] not in ("{", "[", '"'):
-            return value
+    while isinstance(value, str) and value.lstrip()[:1] in ("{", "[", '"'):
         try:
-            value = json.loads(value)
+            value = json.loads(value)  # of a text, always a shorter one
         except ValueError:
-            return value
+            break
     return value
 
 
@@ -52,14 +48,12 @@ def _id_of(value) -> str:
 def visit(payload) -> Iterator[tuple[str, str, str, str, int, str]]:
     """(kind, id, parent id, parent's kind, position among its siblings, own scalar and leaf fields as JSON)."""
     # a stack of (value, kind or None, enclosing records by kind, position, key it stands under)
-    stack = [(_decoded(payload), None, {}, 0, None, 0)]
+    stack = [(_decoded(payload), None, {}, 0, None)]
     while stack:
-        value, kind, within, position, key, depth = stack.pop()
-        if depth > MAX_DEPTH:
-            continue
+        value, kind, within, position, key = stack.pop()
         if isinstance(value, list):
             for i in range(len(value) - 1, -1, -1):
-                stack.append((_decoded(value[i]) if kind else value[i], kind, within, i, None, depth + 1))
+                stack.append((_decoded(value[i]) if kind else value[i], kind, within, i, None))
             continue
         if not isinstance(value, dict):
             continue
@@ -67,7 +61,7 @@ def visit(payload) -> Iterator[tuple[str, str, str, str, int, str]]:
             # facts by key: each value is a fact named by its key
             for i, (k, v) in reversed(list(enumerate(value.items()))):
                 fact = _decoded(v)
-                stack.append((fact if isinstance(fact, dict) else {"answer": v} if v is not None else {}, kind, within, i, k, depth + 1))
+                stack.append((fact if isinstance(fact, dict) else {"answer": v} if v is not None else {}, kind, within, i, k))
             continue
         inner = within
         if kind:
@@ -89,7 +83,7 @@ def visit(payload) -> Iterator[tuple[str, str, str, str, int, str]]:
             if isinstance(v, (dict, list)):
                 # records keep their own leaf parts; only wrappers and parts are descended into
                 if part or kind is None or k == "dialogue":
-                    stack.append((v, part, inner, 0, None, depth + 1))
+                    stack.append((v, part, inner, 0, None))
 
 
 def _parent(kind: str, value: dict, within: dict[str, str]) -> tuple[str, str]:
@@ -124,9 +118,16 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             except (ValueError, RecursionError):
                 out.append((payload_id, "invalid", "", "", "", 0, None))
                 continue
-            for row in visit(payload):
+            rows = visit(payload)
+            while True:
+                try:
+                    row = next(rows, None)
+                except RecursionError:  # a part or field deeper than JSON can be parsed or written
+                    row = ("invalid", "", "", "", 0, None)
+                if row is None:
+                    break
                 out.append((payload_id, *row))
-                size += 100 + len(row[-1])
+                size += 100 + len(row[-1] or "")
                 if size > 8_000_000:
                     yield batch_of(out)
                     out, size = [], 0
@@ -138,7 +139,8 @@ def flatten(payloads: DataFrame) -> DataFrame:
     """payloads(payload_id, payload, ...) -> tagged rows, columns as EMITTED.
 
     A payload that is null, blank or empty has no records. One that is not valid JSON gives one row of the kind ``invalid``,
-    so that it can be reported. Records without an id have no row of their own (answers need none); what they enclose
+    so that it can be reported; so does one of which a part is deeper than JSON can be parsed, beside the records before that
+    part. Records without an id have no row of their own (answers need none); what they enclose
     hangs on the next record outside. Repeated payload rows repeat their records.
     """
     return payloads.select(F.col("payload_id").cast("bigint").alias("payload_id"), F.col("payload").cast("string").alias("payload")).mapInArrow(_emit, EMITTED)

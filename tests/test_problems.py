@@ -192,3 +192,15 @@ def test_flatten_deep_and_tables(spark, tmp_path):
     units = nested.typed_table(again, "unit")
     assert {(r.unit_id, r.parent_id) for r in units.collect()} >= {("u0", "d"), ("u300", "u299")}
     assert nested.flatten(df.limit(0)).count() == 0
+
+
+def test_no_bound_on_levels_and_encodings(spark):
+    levels = 700
+    deep = "".join('{"unit_id": "u%d", "children": [' % i for i in range(levels)) + "]}" * levels
+    often = json.dumps([{"chunk_id": "c"}])
+    for _ in range(7):
+        often = json.dumps(often)
+    rows = [(1, '{"structural_units": [' + deep + "]}"), (2, '{"chunks": ' + often + "}"), (3, '{"document_id": "d", "chunks": ' + json.dumps("[" * 500_000 + "]" * 500_000) + "}")]
+    got = nested.flatten(spark.createDataFrame(rows, "payload_id bigint, payload string")).collect()
+    assert {(r.record_id, r.parent_id) for r in got if r.payload_id == 1} == {(f"u{i}", f"u{i - 1}" if i else "") for i in range(levels)}
+    assert [r.record_id for r in got if r.payload_id == 2] == ["c"] and "invalid" in [r.record_kind for r in got if r.payload_id == 3]
