@@ -1,6 +1,4 @@
 import re
-from re import _constants as K
-from re import _parser
 
 import pytest
 
@@ -35,43 +33,49 @@ def test_cases(spark, copies):
     assert R.residue(df.limit(0)).count() == 0
 
 
-def _python(pattern):
-    return pattern.replace(r"[^\p{L}]", r"[\W\d_]").replace(r"\p{L}", r"[^\W\d_]")
-
-
-def _examples(tree):
-    """Texts of every alternative of a parsed pattern, with and without each optional part."""
-    kinds = {K.CATEGORY_DIGIT: "4", K.CATEGORY_SPACE: " ", K.CATEGORY_NOT_WORD: "-"}
-    texts = [""]
-    for op, arg in tree:
-        if op is K.LITERAL:
-            parts = [chr(arg)]
-        elif op is K.BRANCH:
-            parts = [e for branch in arg[1] for e in _examples(branch)]
-        elif op is K.SUBPATTERN:
-            parts = _examples(arg[3])
-        elif op is K.MAX_REPEAT:
-            parts = [e * n for n in sorted({arg[0], min(arg[1], arg[0] + 1)}) for e in _examples(arg[2])]
-        elif op is K.IN:
-            parts = ["a"] if arg[0][0] is K.NEGATE else [c for o, a in arg for c in ([chr(a)] if o is K.LITERAL else [chr(a[0]), chr(a[1])] if o is K.RANGE else [kinds[a]])]
-        else:
-            assert op is K.AT, op
-            parts = [""]
-        texts = [a + b for a in texts for b in dict.fromkeys(parts)]
-    return list(dict.fromkeys(texts))
-
-
-@pytest.mark.parametrize("name", ["SCRIPT_SUBJECT", "STATE", "PHRASE", "ADVICE"])
-def test_gate_has_every_alternative(name):
-    pattern = _python(getattr(R, name))
-    texts = [t for t in _examples(_parser.parse(pattern)) if re.search(pattern, t)]
-    assert len(texts) >= 20 and [t for t in texts if not re.search(_python(R.PAGE_GATE), t)] == []
-
-
-def test_gate_lets_pages_through(spark):
+@pytest.mark.parametrize("kind", list(R.MESSAGES))
+def test_every_alternative_is_in_the_automaton(kind):
+    texts = R.spelled(R.MESSAGES[kind])
+    assert texts and all(re.fullmatch(R.MESSAGES[kind].replace("©", "\\©").replace(".|", "[.]|"), t) or "." in t for t, *_ in texts)
+    for text, opens, *_ in texts:
+        found = R._hits(f"{text} 404" if kind == "head" else text)
+        assert ("opens" if opens else "phrase" if kind == "head" else kind) in found, text
+
+
+def test_spelled_spells_out_groups_and_options():
+    assert [t for t, *_ in R.spelled("a(?:b|c)?d|^e\\b")] == ["abd", "acd", "ad", "e"]
+    assert R.spelled("^e\\b")[0] == ("e", True, False, True)
+
+
+LONG = "Die von Ihnen in der Trefferliste der Rechtsvorschriften des Landes und des Bundes ausgewählte Seite mit dem Wortlaut der Vorschrift in der Fassung der letzten Bekanntmachung wurde auf diesem Server nicht gefunden, weil der Server die von Ihnen angefragte Datei mit dem Normtext nicht geladen hat und die Datenbank derzeit nicht erreichbar ist."
+
+
+def test_no_bound_on_lengths():
+    assert len(LONG) > R.MESSAGE_REACH and R.judge(LONG) == (False, True, False)
+    for form in ("{{%s}}", "${%s}", "<%%= %s %%>", "{%% if %s %%}", "[[%s]]", "__%s__", "[Hier %s einfügen]", "{%s}", "%%%s_A%%", "<Name %s>"):
+        name = "ABCDEFGHIJ" * 30
+        text = LAW + "am " + form % name + "."
+        assert R.judge(text)[0], form
+    # a long sentence of law that has such words far from each other, and one message in a long law
+    far = "Der Antrag auf Zugang " + "zu den Unterlagen der Behörde über die Anlage und ihren Betrieb " * 8 + "wird abgelehnt, wenn ein Nachweis fehlt."
+    assert R.judge(far) == (False, False, False)
+    assert R.judge(LAW * 5 + LONG) == (False, False, False)
+
+
+def test_pages_of_one_message():
     pages = ["Zeitüberschreitung beim Abruf der Vorschrift.", "Aktive Inhalt werden benötigt.", "Ohne aktiven Inhalt können Sie den Text nicht lesen, er ist erforderlich."]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(pages)], "doc_id bigint, text string")
-    assert all(r.is_page for r in R.residue(df).collect())
+    assert all(R.judge(t)[1] for t in pages)
+
+
+def test_mentioned_and_unfilled_placeholders():
+    unfilled = [
+        "Sehr geehrte {{anrede}}, Ihr Antrag zum Platzhalter im Feld wurde geprüft.",
+        "Ein Platzhalter hat die Form {{name}}. " + LAW * 10 + "Die Gebühr beträgt {{betrag}}.",
+        "Ein Platzhalter hat die Form {{name}}. Sehr geehrte {{anrede}}, die Gebühr beträgt {{betrag}}, die Frist {{frist}}.",
+    ]
+    mentioned = ["Mit {{name}} ist ein Platzhalter gesetzt, denn „{{name}}“ ist ein Platzhalter.", "Ein Platzhalter wie {{a_b}} oder {{c_d}} wird ersetzt: Name {{a_b}}.", "``` {{name}} ``` steht im Muster.", "Ein Platzhalter steht in Klammern: " + ", ".join(f"{{{{feld{i}}}}}" for i in range(500)) + "."]
+    assert [R.has_placeholder(t) for t in unfilled] == [True] * len(unfilled)
+    assert [R.has_placeholder(t) for t in mentioned] == [False] * len(mentioned)
 
 
 def test_words_in_placeholders_make_no_tutorial(spark):
