@@ -1,10 +1,10 @@
 """Mapping freely typed names to the entries of a canonical list.
 
-Numbers and abbreviations are exact keys. For names in words a prefix-filter set-similarity join finds the candidates: a
-name is reduced to its core (without articles, type words and template phrases), the core's 3-grams are ordered from the
-rarest to the commonest, only the rare prefix of each set is joined, pairs pass a length and a positional filter, and Jaccard
-is computed exactly for those that are left. Pairs within two edits whose 3-grams are too few for that come from equal
-deletion neighbourhoods. The nearest by edit distance among all of them is kept if it is near enough.
+Every name and every entry is a few sets of tokens: its number, its abbreviation, and the 3-grams of its core (the name
+without articles, type words and template phrases). One prefix-filter set-similarity join finds the candidates: tokens are
+ordered from the rarest to the commonest, only the rare prefix of each set is joined, and pairs pass a length and a positional
+filter. The prefixes are long enough for two bounds at once: no pair of the Jaccard threshold is lost, nor any pair of cores
+within EDITS edits (see ``needed``). Jaccard is then verified exactly and the best entry that is near enough is kept.
 """
 
 from __future__ import annotations
@@ -12,24 +12,26 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import materialize
 from ..session import spread
+from ..skew import salted_left_join
 from . import characters as ch
 
 #: Least Jaccard similarity of two cores' 3-gram sets.
 THRESHOLD = 0.4
-#: Two edits take 8 3-grams from a set and add 8 at most (two swaps of neighbours), so that sets of 19 stay above THRESHOLD.
-#: Pairs of smaller ones meet by the texts that deletions of up to two letters leave; letters of the longest so treated.
-FEW_GRAMS, LONGEST_DELETED = 19, 40
-#: Least letters of an entry that is meant by a core up to two edits away.
-LEAST_ENTRY = 8
-#: Most different 3-grams whose counts are broadcast (letters and digits alone make fewer than 50,000).
-MOST_GRAMS = 500_000
+#: Edits between a core and the entry that it means, at most, and the least letters of such an entry: an edit (a swap of
+#: neighbours) changes 4 of its 3-grams at most, and it has one more than letters, so that one is left unchanged at least.
+EDITS, GRAMS_PER_EDIT = 2, 4
+LEAST_ENTRY = EDITS * GRAMS_PER_EDIT
+#: Most different tokens whose counts, and most prefix rows of the entries, that are broadcast (some 30 MB each); beyond,
+#: both sides are shuffled, with salts for hot tokens.
+MOST_GRAMS = MOST_PREFIXES = 500_000
 
 # Words that German names of laws share, and words that typists add.
 TYPES = ("gesetz", "verordnung", "richtlinie")
@@ -87,38 +89,57 @@ def abbreviation_of(text: str) -> str | None:
     """The text as an abbreviation: without a section before it or a year after it."""
     t = re.sub(r"^(?:art(?:ikel)?|paragraph|abs)? ?\d{1,3} (?=[a-z])", "", folded(text))
     t = re.sub(r"(?<=[a-z]) (?:19|20)\d\d$", "", t).replace(" ", "")
-    return t if 2 <= len(t) <= 16 else None
+    return t or None
+
+
+@lru_cache(maxsize=100_000)
+def _within(a: str, b: str, most: int) -> bool:
+    """Whether b is ``most`` edits from a at most; each edit takes one kind of letter away at most, which is quick to see."""
+    return abs(len(a) - len(b)) <= most and len(set(a) - set(b)) <= most and distance(a, b) <= most
+
+
+@lru_cache(maxsize=100_000)
+def _is_type_word(w: str) -> bool:
+    return any(_within(x, w, 2) for x in (*TYPES, *PHRASES))
 
 
 def is_implementing(text: str) -> bool:
     """Whether provisions implementing a law are named, not the law."""
     t = folded(text)
-    return bool(re.search(r"durchf\w* ?best|\bdb$", t)) or distance(_IMPLEMENTING, t.replace(" ", ""), anywhere=True) <= 4
+    if re.search(r"durchf\w* ?best|\bdb$", t):
+        return True
+    return len(set(_IMPLEMENTING) - set(t)) <= 4 and distance(_IMPLEMENTING, t.replace(" ", ""), anywhere=True) <= 4
+
+
+def _type_word_length(core: str) -> int:
+    """Letters of the type word, possibly mistyped, that a core ends with; 0 if with none."""
+    exact = max((len(s) for s in _SUFFIXES if core.endswith(s)), default=0)
+    if exact and len(core) > exact + 5:
+        return exact
+    best = None
+    for s in _SUFFIXES:
+        for n in range(len(s) - 1, len(s) + 2):
+            if len(core) > n + 5 and len(set(s) - set(core[-n:])) <= 2:
+                d = distance(core[-n:], s)
+                if d <= 2 and (best is None or (d, -n) < best):
+                    best = (d, -n)
+    return -best[1] if best else 0
 
 
 def core_of(text: str) -> str:
-    """What is left of a name without type words, template phrases and additions, irrespective of the place of spaces."""
-    words = []
-    for w in folded(text).split():
-        if len(w) <= 3 or w in ADDED or any(c.isdigit() for c in w):
-            continue
-        if any(abs(len(w) - len(x)) <= 2 and distance(w, x) <= 2 for x in (*TYPES, *PHRASES)):
-            continue
-        words.append(w)
-    core = "".join(words)
+    """What is left of a name without type words, template phrases and additions, irrespective of the place of spaces.
+
+    Words of up to three letters are additions too, unless the name has no other words.
+    """
+    plain = [w for w in folded(text).split() if w not in ADDED and not any(c.isdigit() for c in w) and not _is_type_word(w)]
+    core = "".join([w for w in plain if len(w) > 3] or plain)
     for _ in range(2):
-        best = None
-        for s in _SUFFIXES:
-            for n in range(len(s) - 1, len(s) + 2):
-                if len(core) > n + 5:
-                    d = distance(core[-n:], s)
-                    if d <= 2 and (best is None or (d, -n) < best):
-                        best = (d, -n)
-        if best is None:
+        n = _type_word_length(core)
+        if not n:
             break
-        core = core[: best[1]]
-    core = re.sub(r"s?(?:vo|ges|rl|geses)$", "", core)
-    return re.sub(r"s$", "", core)
+        core = core[:-n]
+    core = re.sub(r"s?(?:vo|ges|rl|geses)$", "", core) or core
+    return re.sub(r"s$", "", core) or core
 
 
 #: Beginnings that a name's core may keep from mistyped additions.
@@ -138,61 +159,74 @@ def near_enough(core: str, squeezed: str, entry: str, jaccard: float) -> tuple[b
     return fine, min(inside, whole)
 
 
-def neighbourhood(core: str, lengths: range) -> list[str]:
-    """Keys of which two texts within two edits share one: what deletions of up to two letters leave of a short text, else
-    its length. ``lengths``: by how much the other text's length may differ from this one's, for the side that asks."""
-    keys: set[str] = set()
-    if len(core) + lengths.start <= LONGEST_DELETED:
-        ones = {core[:i] + core[i + 1 :] for i in range(len(core))}
-        keys = {core} | ones | {o[:i] + o[i + 1 :] for o in ones for i in range(len(o))}
-    return sorted(keys) + [f"#{n}" for n in (len(core) + d for d in lengths) if n > LONGEST_DELETED]
+# Kinds of sets, in the order in which they decide.
+NUMBER, ABBREVIATION, CORE = "0", "1", "2"
+METHODS = {NUMBER: "number", ABBREVIATION: "abbreviation", CORE: "similarity"}
 
 
-def _neighbourhoods(lengths: range, name: str):
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([neighbourhood(c, lengths) for c in part.column(0).to_pylist()], pa.list_(pa.string()))], [name, "keys"])
-
-    return keyed
+def grams_of(core: str) -> list[str]:
+    return sorted({f"  {core} "[i : i + 3] for i in range(len(core) + 1)}) if core else []
 
 
-def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """name -> one row a set: (name, key, grams, letters, implementing, squeezed); letters only of cores."""
+    types = [pa.string(), pa.string(), pa.list_(pa.string()), pa.int32(), pa.bool_(), pa.string()]
     for batch in batches:
-        yield batch.filter(pa.array([distance(a, b) <= 2 for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], pa.bool_()))
+        out = []
+        for name in batch.column(0).to_pylist():
+            number, abbreviation, core = number_in(name), abbreviation_of(name), core_of(name)
+            if number:
+                out.append((name, NUMBER + number, ["#" + number], None, None, ""))
+            if abbreviation:
+                out.append((name, ABBREVIATION + abbreviation, ["@" + abbreviation], None, None, ""))
+            if core:
+                out.append((name, CORE + core, grams_of(core), len(core), is_implementing(name), folded(name).replace(" ", "")))
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 6, types)], ["name", "key", "grams", "letters", "implementing", "squeezed"])
+
 
+_FEATURES = "name string, key string, grams array<string>, letters int, implementing boolean, squeezed string"
 
-def edits_join(left: DataFrame, right: DataFrame) -> DataFrame:
-    """left(l, grams), right(r, grams) -> (l, r, jaccard) of the pairs within two edits that THRESHOLD may leave out; l and r are the texts.
 
-    Exact for right texts of LEAST_ENTRY letters and more, which are all that two edits count for.
+def needed(n: Column, letters: Column, least_letters: int, threshold: float) -> Column:
+    """Tokens that a set of n must share with any other that it may be a pair with.
+
+    Of sets with a Jaccard similarity of the threshold that is ceil(threshold n). Cores within EDITS edits differ in
+    EDITS * GRAMS_PER_EDIT 3-grams of each at most, and share one at least if the entry has LEAST_ENTRY letters.
     """
-    few = F.size("grams") < FEW_GRAMS
-    asked = right.where(few & (F.char_length("r") >= LEAST_ENTRY))
-    of = spread(asked.select("r")).mapInArrow(_neighbourhoods(range(1), "r"), "r string, keys array<string>").select("r", F.explode("keys").alias("key"))
-    mine = spread(left.where(few & (F.char_length("l") >= LEAST_ENTRY - 2)).select("l")).mapInArrow(_neighbourhoods(range(-2, 3), "l"), "l string, keys array<string>").select("l", F.explode("keys").alias("key"))
-    pairs = mine.join(materialize(of, "neighbourhoods"), "key").select("l", "r").distinct().mapInArrow(_both, "l string, r string")
-    both = pairs.join(left.select("l", F.col("grams").alias("lg")), "l").join(right.select("r", F.col("grams").alias("rg")), "r")
-    common = F.size(F.array_intersect("lg", "rg"))
-    return both.select("l", "r", (common / (F.size("lg") + F.size("rg") - common)).alias("jaccard"))
+    by_jaccard = F.ceil(n * threshold - 1e-9)
+    by_edits = F.greatest(F.lit(1), n - EDITS * GRAMS_PER_EDIT)
+    return F.when(letters >= least_letters, F.least(by_jaccard, by_edits)).otherwise(by_jaccard)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = batch.column(0).to_pylist()
-        cores = [core_of(n) for n in names]
-        grams = [sorted({f"  {c} "[i : i + 3] for i in range(len(c) + 1)}) if c else [] for c in cores]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), pa.array([number_in(n) for n in names], pa.string()), pa.array([abbreviation_of(n) for n in names], pa.string()), pa.array([is_implementing(n) for n in names]),
-                pa.array(cores, pa.string()), pa.array([folded(n).replace(" ", "") for n in names], pa.string()), pa.array(grams, pa.list_(pa.string())),
-            ],
-            ["name", "number", "abbreviation", "implementing", "core", "squeezed", "grams"],
-        )
+def candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """left(l, grams, letters), right(r, grams, letters) -> (l, r): all pairs of ``threshold`` or within EDITS edits, and few more.
 
+    l and r are unique, sets not empty. letters is the length of the core that the grams were made of, null for sets that are no
+    cores; edits count for right sides of LEAST_ENTRY letters and more only.
+    """
+    counts = left.select(F.explode("grams").alias("gram")).unionAll(right.select(F.explode("grams").alias("gram"))).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    counts = materialize(counts, "grams")
+    order = F.broadcast(counts) if counts.count() <= MOST_GRAMS else counts
 
-_FEATURES = "name string, number string, abbreviation string, implementing boolean, core string, squeezed string, grams array<string>"
+    def prefixes(side: DataFrame, key: str, least_letters: int) -> DataFrame:
+        ranked = side.select(key, "letters", F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(order, "gram")
+        tokens = F.array_sort(F.collect_list(F.struct("df", "gram")))  # the tokens of one set
+        sets = ranked.groupBy(key, "letters", "n").agg(tokens.alias("t"))
+        rare = F.slice("t", F.lit(1), (F.col("n") - needed(F.col("n"), F.col("letters"), least_letters, threshold) + 1).cast("int"))
+        return sets.select(key, "letters", "n", F.posexplode(rare).alias("place", "t")).select(key, "letters", "n", "place", "t.gram")
+
+    a = prefixes(left, "l", LEAST_ENTRY - EDITS).withColumnsRenamed({"n": "ln", "place": "lp", "letters": "ll"})
+    b = materialize(prefixes(right, "r", LEAST_ENTRY).withColumnsRenamed({"n": "rn", "place": "rp", "letters": "rl"}), "prefixes")
+    joined = a.join(F.broadcast(b), "gram") if b.count() <= MOST_PREFIXES else salted_left_join(a, b, ["gram"], [F.col("l")], how="inner")
+    ln, rn = F.col("ln"), F.col("rn")
+    alike = (ln >= rn * threshold - 1e-9) & (rn >= ln * threshold - 1e-9)
+    near = F.coalesce((F.abs(F.col("ll") - F.col("rl")) <= EDITS) & (F.col("rl") >= LEAST_ENTRY), F.lit(False))
+    by_jaccard = F.when(alike, F.ceil(threshold / (1 + threshold) * (ln + rn) - 1e-9))
+    by_edits = F.when(near, F.greatest(F.lit(1), ln - EDITS * GRAMS_PER_EDIT, rn - EDITS * GRAMS_PER_EDIT))
+    least = F.least(by_jaccard, by_edits)  # the one that is there, if only one is
+    # the first common token of a pair has no other common one before it on either side
+    possible = F.least(ln - F.col("lp"), rn - F.col("rp"))
+    return joined.where(alike | near).where(possible >= least).select("l", "r").distinct()
 
 
 def similarity_join(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -200,80 +234,68 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float) -> Data
 
     An exact join: prefix, length and positional filters only leave out pairs that cannot reach the threshold.
     """
-    counts = left.select(F.explode("grams").alias("gram")).unionAll(right.select(F.explode("grams").alias("gram"))).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    counts = materialize(counts, "grams")
-    order = F.broadcast(counts) if counts.count() <= MOST_GRAMS else counts
-
-    def prefixes(side: DataFrame, key: str) -> DataFrame:
-        ranked = side.select(key, F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(order, "gram")
-        place = F.row_number().over(Window.partitionBy(key).orderBy("df", "gram")) - 1
-        length = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
-        return ranked.withColumn("place", place).where(F.col("place") < length).select("gram", key, "n", "place")
-
-    a = prefixes(left, "l").withColumnsRenamed({"n": "ln", "place": "lp"})
-    b = prefixes(right, "r").withColumnsRenamed({"n": "rn", "place": "rp"})
-    needed = F.ceil(threshold / (1 + threshold) * (F.col("ln") + F.col("rn")) - 1e-9)
-    # the first common gram of a pair has no other common one before it on either side
-    possible = F.least(F.col("ln") - F.col("lp"), F.col("rn") - F.col("rp"))
-    pairs = (
-        a.join(b, "gram")
-        .where((F.col("ln") >= F.col("rn") * threshold - 1e-9) & (F.col("rn") >= F.col("ln") * threshold - 1e-9))
-        .groupBy("l", "r", "ln", "rn")
-        .agg(F.max(possible - needed).alias("spare"))
-        .where("spare >= 0")
-        .select("l", "r")
-    )
+    no_letters = F.lit(None).cast("int").alias("letters")
+    pairs = candidates(left.select("l", "grams", no_letters), right.select("r", "grams", no_letters), threshold)
     both = pairs.join(left.select("l", F.col("grams").alias("lg")), "l").join(right.select("r", F.col("grams").alias("rg")), "r")
     common = F.size(F.array_intersect("lg", "rg"))
     return both.select("l", "r", (common / (F.size("lg") + F.size("rg") - common)).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-12)
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = [near_enough(*row) for row in zip(*(batch.column(k).to_pylist() for k in (1, 2, 4, 5)))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(3), batch.column(5), pa.array([x[1] for x in out], pa.int32()), pa.array([x[0] for x in out])], ["name", "law_key", "jaccard", "edits", "fine"]
-        )
+@lru_cache(maxsize=100_000)
+def _gram_set(core: str) -> frozenset[str]:
+    return frozenset(grams_of(core))
+
+
+def _verify(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, squeezed, l, r, law_key in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                kind, core, entry = l[0], l[1:], r[1:]
+                jaccard, edits = 1.0, 0
+                if kind == CORE:
+                    a, b = _gram_set(core), _gram_set(entry)
+                    common = len(a & b)
+                    jaccard = common / (len(a) + len(b) - common)
+                    if jaccard < threshold - 1e-12 and not (len(entry) >= LEAST_ENTRY and _within(core, entry, EDITS)):
+                        continue
+                    fine, edits = near_enough(core, squeezed, entry, jaccard)
+                    if not fine:
+                        continue
+                out.append((name, law_key, kind, jaccard, edits))
+            types = [pa.string(), pa.string(), pa.string(), pa.float64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 5, types)], ["name", "law_key", "kind", "jaccard", "edits"])
+
+    return run
 
 
 def map_names(names: DataFrame, laws: DataFrame) -> DataFrame:
     """names(name_id, name), laws(law_key, title, short_title, abbreviation, act_number) -> (name_id, name, law_key, method, jaccard, edits).
 
-    One row a name_id: law_key null and method ``none`` if the name is blank, null or near to no entry. A number of the
-    list that is in the name decides alone, then an abbreviation, then the core. Of several entries equally near the one of the greater
-    Jaccard, then of the smaller key, is kept. Repeated rows of a name_id are one name (the greatest counts). Every distinct
-    spelling is worked out once, however often it was typed.
+    One row a name_id: law_key null and method ``none`` if the name is blank, null or near to no entry. Of the candidates a
+    number of the list that is in the name comes first, then an abbreviation, then the core of the fewest edits, the greatest
+    Jaccard, the smallest key. Repeated rows of a name_id are one name (the greatest counts). Every distinct spelling is
+    worked out once, however often it was typed.
     """
     typed = names.where("name_id is not null").groupBy("name_id").agg(F.max("name").alias("name"))
     typed = materialize(typed, "typed")
     spellings = typed.where("name is not null and trim(name) <> ''").select("name").distinct()
     features = materialize(spread(spellings).mapInArrow(_features, _FEATURES), "features")
 
-    entries = laws.where("law_key is not null").select("law_key", F.explode(F.array("title", "short_title")).alias("name")).where("name is not null").distinct()
-    parts = entries.select("name").distinct().mapInArrow(_features, _FEATURES)
-    cores = materialize(entries.join(parts, "name").select("law_key", "core", "implementing", "grams").where("core <> ''").distinct(), "entries")
-    numbers = laws.where("act_number is not null").select(F.trim("act_number").alias("number"), "law_key")
-    abbreviations = laws.where("abbreviation is not null").select(F.col("abbreviation").alias("name"), F.col("law_key")).distinct()
-    short = abbreviations.select("name").distinct().mapInArrow(_features, _FEATURES).select("name", "abbreviation").where("abbreviation is not null")
-    abbreviations = abbreviations.join(short, "name").select("abbreviation", "law_key")
-
-    def exact(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-        return df.join(keys.groupBy(on).agg(F.min("law_key").alias("law_key")), on).select("name", "law_key", F.lit(on).alias("method"), F.lit(1.0).alias("jaccard"), F.lit(0).alias("edits"))
-
-    by_number = exact(features, numbers, "number")
-    # a number that is not on the list may be mistyped; the words then decide
-    no_number = features.join(by_number.select("name"), "name", "left_anti")
-    by_abbreviation = exact(no_number, abbreviations, "abbreviation")
-    in_words = no_number.join(by_abbreviation.select("name"), "name", "left_anti").where("core <> ''")
-    left = in_words.select(F.col("core").alias("l"), "grams").groupBy("l").agg(F.first("grams").alias("grams"))  # a function of the core
-    right = cores.select(F.col("core").alias("r"), "grams").groupBy("r").agg(F.first("grams").alias("grams"))
-    left, right = materialize(left, "left"), materialize(right, "right")
-    near = materialize(similarity_join(left, right, THRESHOLD).unionByName(edits_join(left, right)).distinct(), "near")
-    asked = in_words.select("name", "core", "squeezed", "implementing").join(near, F.col("core") == F.col("l")).join(cores.select(F.col("core").alias("r"), "implementing", "law_key").distinct(), ["r", "implementing"])
-    judged = spread(asked.select("name", "core", "squeezed", "law_key", "r", "jaccard")).mapInArrow(_verify, "name string, law_key string, jaccard double, edits int, fine boolean").where("fine")
-    best = Window.partitionBy("name").orderBy("edits", F.col("jaccard").desc(), "law_key")
-    by_core = judged.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("name", "law_key", F.lit("similarity").alias("method"), "jaccard", "edits")
-    mapped = by_number.unionByName(by_abbreviation).unionByName(by_core)
+    listed = laws.where("law_key is not null").select("law_key", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("name")) for k, c in ((CORE, "title"), (CORE, "short_title"), (ABBREVIATION, "abbreviation"), (NUMBER, "act_number"))])).alias("e"))
+    listed = listed.select("law_key", "e.kind", "e.name").where("trim(name) <> ''").distinct()
+    parts = listed.select("name").distinct().mapInArrow(_features, _FEATURES)
+    of_kind = listed.join(parts, "name").where(F.substring("key", 1, 1) == F.col("kind"))
+    entries = materialize(of_kind.select("law_key", F.col("key").alias("r"), "grams", "letters", "implementing").distinct(), "entries")
+
+    sides = [df.groupBy(k).agg(F.first("grams").alias("grams"), F.first("letters").alias("letters")) for df, k in ((features.withColumnRenamed("key", "l"), "l"), (entries, "r"))]  # functions of the key
+    near = candidates(*sides, THRESHOLD)
+    means = entries.select("law_key", "r", F.col("implementing").alias("i"))
+    if entries.count() <= MOST_PREFIXES:
+        means = F.broadcast(means)
+    asked = features.select("name", "squeezed", "implementing", F.col("key").alias("l")).join(near, "l").join(means, "r").where("implementing is null or implementing = i")
+    judged = spread(asked.select("name", "squeezed", "l", "r", "law_key")).mapInArrow(_verify(THRESHOLD), "name string, law_key string, kind string, jaccard double, edits int")
+    best = judged.groupBy("name").agg(F.min(F.struct("kind", "edits", (-F.col("jaccard")).alias("j"), "law_key")).alias("b"))
+    method = F.create_map(*[F.lit(x) for pair in METHODS.items() for x in pair])[F.col("b.kind")]
+    mapped = best.select("name", "b.law_key", method.alias("method"), (-F.col("b.j")).alias("jaccard"), "b.edits")
     return typed.join(mapped, "name", "left").select("name_id", "name", "law_key", F.coalesce("method", F.lit("none")).alias("method"), "jaccard", "edits")
-
-
