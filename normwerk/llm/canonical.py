@@ -72,16 +72,32 @@ def distance(a: str, b: str, anywhere: bool = False) -> int:
     return least if anywhere else score
 
 
+class _Marks(dict):
+    """For str.translate: combining characters are dropped."""
+
+    def __missing__(self, code: int) -> int | None:
+        self[code] = None if unicodedata.combining(chr(code)) else code
+        return self[code]
+
+
+_MARKS = _Marks()
+
+
+@lru_cache(maxsize=1000)
+def _latin(text: str) -> str:
+    return ch.fold_look_alikes(text)
+
+
+@lru_cache(maxsize=1000)
 def folded(text: str) -> str:
     """Lower-case Latin letters and digits with single spaces; umlauts and their spellings with e are one."""
-    text = ch.fold_look_alikes(text).casefold()
-    text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    text = unicodedata.normalize("NFKD", _latin(text).casefold()).translate(_MARKS)
     text = re.sub(r"[^a-z0-9Ͱ-ӿ]+", " ", text)
     return text.replace("ue", "u").replace("ae", "a").replace("oe", "o").strip()
 
 
 def number_in(text: str) -> str | None:
-    m = _NUMBER.search(ch.fold_look_alikes(text))
+    m = _NUMBER.search(_latin(text))
     return f"{m[1]}/{int(m[2])}" if m else None
 
 
@@ -246,29 +262,39 @@ def _gram_set(core: str) -> frozenset[str]:
     return frozenset(grams_of(core))
 
 
-def _verify(threshold: float):
+def _exact(threshold: float):
+    """Candidate pairs (l, r) of keys -> (l, r, jaccard) of those of the threshold and of cores within EDITS edits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for name, squeezed, l, r, law_key in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                kind, core, entry = l[0], l[1:], r[1:]
-                jaccard, edits = 1.0, 0
-                if kind == CORE:
+            for l, r in zip(*(batch.column(k).to_pylist() for k in range(2))):
+                jaccard = 1.0
+                if l[0] == CORE:
+                    core, entry = l[1:], r[1:]
                     a, b = _gram_set(core), _gram_set(entry)
                     common = len(a & b)
                     jaccard = common / (len(a) + len(b) - common)
                     if jaccard < threshold - 1e-12 and not (len(entry) >= LEAST_ENTRY and _within(core, entry, EDITS)):
                         continue
-                    fine, edits = near_enough(core, squeezed, entry, jaccard)
-                    if not fine:
-                        continue
-                out.append((name, law_key, kind, jaccard, edits))
-            types = [pa.string(), pa.string(), pa.string(), pa.float64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 5, types)], ["name", "law_key", "kind", "jaccard", "edits"])
+                out.append((l, r, jaccard))
+            types = [pa.string(), pa.string(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 3, types)], ["l", "r", "jaccard"])
 
     return run
 
 
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for name, squeezed, l, r, law_key, jaccard in zip(*(batch.column(k).to_pylist() for k in range(6))):
+            fine, edits = near_enough(l[1:], squeezed, r[1:], jaccard) if l[0] == CORE else (True, 0)
+            if fine:
+                out.append((name, law_key, l[0], jaccard, edits))
+        types = [pa.string(), pa.string(), pa.string(), pa.float64(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 5, types)], ["name", "law_key", "kind", "jaccard", "edits"])
+
+
 def map_names(names: DataFrame, laws: DataFrame) -> DataFrame:
     """names(name_id, name), laws(law_key, title, short_title, abbreviation, act_number) -> (name_id, name, law_key, method, jaccard, edits).
 
@@ -289,12 +315,12 @@ def map_names(names: DataFrame, laws: DataFrame) -> DataFrame:
     entries = materialize(of_kind.select("law_key", F.col("key").alias("r"), "grams", "letters", "implementing").distinct(), "entries")
 
     sides = [df.groupBy(k).agg(F.first("grams").alias("grams"), F.first("letters").alias("letters")) for df, k in ((features.withColumnRenamed("key", "l"), "l"), (entries, "r"))]  # functions of the key
-    near = candidates(*sides, THRESHOLD)
+    near = candidates(*sides, THRESHOLD).mapInArrow(_exact(THRESHOLD), "l string, r string, jaccard double")
     means = entries.select("law_key", "r", F.col("implementing").alias("i"))
     if entries.count() <= MOST_PREFIXES:
         means = F.broadcast(means)
     asked = features.select("name", "squeezed", "implementing", F.col("key").alias("l")).join(near, "l").join(means, "r").where("implementing is null or implementing = i")
-    judged = spread(asked.select("name", "squeezed", "l", "r", "law_key")).mapInArrow(_verify(THRESHOLD), "name string, law_key string, kind string, jaccard double, edits int")
+    judged = spread(asked.select("name", "squeezed", "l", "r", "law_key", "jaccard")).mapInArrow(_verify, "name string, law_key string, kind string, jaccard double, edits int")
     best = judged.groupBy("name").agg(F.min(F.struct("kind", "edits", (-F.col("jaccard")).alias("j"), "law_key")).alias("b"))
     method = F.create_map(*[F.lit(x) for pair in METHODS.items() for x in pair])[F.col("b.kind")]
     mapped = best.select("name", "b.law_key", method.alias("method"), (-F.col("b.j")).alias("jaccard"), "b.edits")
