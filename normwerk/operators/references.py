@@ -1,12 +1,14 @@
 """References to records that do not exist, are withdrawn, or arrive only later.
 
-Parent keys are split into a prefix and the integer they end in. Within a prefix the sorted integers are compressed into
-runs of consecutive values; a reference is matched as-of to the run that starts at or before its integer, and it is an
-orphan if its integer lies beyond the run's end. A run carries, in order, the time from which each of its keys is
-usable, so that the same look-up also tells withdrawn and later parents.
-
-Runs are cut at multiples of BLOCK: a group of the join then holds at most BLOCK parent keys however dense the key range
-is, and the as-of match is an equi-join on (prefix, block) followed by a look-up in a short sorted array.
+Every key is a prefix and an integer: the number it ends in, or else the letters it ends in, read as one. Within a prefix the
+sorted integers of the parents are compressed into runs of consecutive values; a run is its first and last integer and the
+earliest and latest time from which its keys are usable. It ends where the next integer is not there, where the state changes
+(usable or never usable), and where the times lie more than GAP apart. A reference is matched as-of to the run that starts at
+or before its integer, and it is an orphan if its integer lies beyond the run's end or its time before the run's first. Only
+a reference whose time falls between a run's first and last is compared with its own key's time.
+
+Runs are cut at multiples of BLOCK: a group of the join then holds at most BLOCK runs however dense the key range is, and
+the as-of match is an equi-join on (prefix, block) followed by a look-up in a short sorted array.
 """
 
 from __future__ import annotations
@@ -14,9 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..skew import salted_left_join
+from ..durable import materialize
+from ..skew import SAMPLED, salted_left_join
 
 BLOCK = 256
+#: Seconds between the times of neighbours in a run, at most.
+GAP = 3600
+#: Letters at the end of a key that make its integer if it ends in no number: 8 bits each.
+LETTERS = 6
 #: White space that may surround a key.
 OUTER = " \t\r\n\f   　"
 
@@ -27,36 +34,47 @@ def comparable_key(key: Column) -> Column:
     return F.when(plain != "", plain)
 
 
-def _split(key: Column) -> tuple[Column, Column]:
-    """(prefix, integer) such that prefix + integer is the key again; -1 if it ends in no integer."""
+def split_key(key: Column) -> tuple[Column, Column]:
+    """(prefix, integer) of which the key can be made again, so that equal pairs are equal keys.
+
+    A number at the end is the integer. Else it is made of the last LETTERS characters if they are ASCII, and the prefix says
+    so by a mark that no key begins with; else it is -1 and the prefix the whole key.
+    """
     digits = F.regexp_extract(key, r"(?:0|[1-9][0-9]{0,16})$", 0)
     # leading zeros stay in the prefix: of "a007" the integer is 7 and the prefix "a00"
-    prefix = F.substring(key, F.lit(1), F.char_length(key) - F.char_length(digits))
-    return prefix, F.coalesce(digits.try_cast("bigint"), F.lit(-1))
+    number = digits.try_cast("bigint")
+    tail = F.right(key, F.lit(LETTERS))
+    code = F.conv(F.hex(tail), 16, 10).cast("bigint")
+    lettered = F.octet_length(tail) == LETTERS
+    head = lambda n: F.substring(key, F.lit(1), F.char_length(key) - n)
+    prefix = F.when(number.isNotNull(), head(F.char_length(digits))).when(lettered, F.concat(F.lit(" "), head(F.lit(LETTERS)))).otherwise(key)
+    return prefix, F.when(number.isNotNull(), number).when(lettered, code).otherwise(F.lit(-1))
 
 
-def key_runs(parents: DataFrame) -> DataFrame:
-    """parents(parent_key, parent_ts, alive) -> one row a (prefix, block) with its runs, sorted by start."""
+def usable_keys(parents: DataFrame) -> DataFrame:
+    """parents(parent_key, parent_ts, alive) -> (prefix, n, usable_from), one row a key; null: never usable."""
     keyed = parents.select(comparable_key(F.col("parent_key")).alias("k"), F.when(F.col("alive"), F.col("parent_ts")).alias("ts")).where("k is not null")
-    prefix, number = _split(F.col("k"))
-    first = (
-        keyed.select(prefix.alias("prefix"), number.alias("n"), "ts")
-        .withColumn("block", F.floor(F.col("n") / BLOCK))
-        .groupBy("prefix", "block", "n")
-        .agg(F.min("ts").alias("usable_from"))  # null: never usable
-    )
-    members = first.groupBy("prefix", "block").agg(F.array_sort(F.collect_list(F.struct("n", "usable_from"))).alias("m"))  # at most BLOCK
-    # a run starts where the preceding integer is not there
-    starts = F.filter(F.sequence(F.lit(0), F.size("m") - 1), lambda i: (i == 0) | (F.get("m", i)["n"] != F.get("m", i - 1)["n"] + 1))
-    runs = F.transform(
-        F.col("starts"),
-        lambda s, i: F.struct(
-            F.get("m", s)["n"].alias("start"),
-            F.get("m", F.coalesce(F.get("starts", i + 1), F.size("m")) - 1)["n"].alias("end"),
-            F.transform(F.slice("m", s + 1, F.coalesce(F.get("starts", i + 1), F.size("m")) - s), lambda x: x["usable_from"]).alias("usable_from"),
-        ),
-    )
-    return members.withColumn("starts", starts).select("prefix", "block", runs.alias("runs"))
+    prefix, number = split_key(F.col("k"))
+    return keyed.select(prefix.alias("prefix"), number.alias("n"), "ts").groupBy("prefix", "n").agg(F.min("ts").alias("usable_from"))
+
+
+def key_runs(keys: DataFrame) -> DataFrame:
+    """(prefix, n, usable_from) -> (prefix, block, runs), runs sorted by start: array of (start, end, first, last)."""
+    members = keys.withColumn("block", F.floor(F.col("n") / BLOCK)).groupBy("prefix", "block").agg(F.array_sort(F.collect_list(F.struct("n", "usable_from"))).alias("m"))  # at most BLOCK
+
+    def begins(i: Column) -> Column:
+        here, before = F.get("m", i), F.get("m", i - 1)
+        apart = F.abs(F.unix_micros(here["usable_from"].cast("timestamp")) - F.unix_micros(before["usable_from"].cast("timestamp"))) > GAP * 1_000_000
+        return (i == 0) | (here["n"] != before["n"] + 1) | (here["usable_from"].isNull() != before["usable_from"].isNull()) | F.coalesce(apart, F.lit(False))
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("m") - 1), begins)
+
+    def run(s: Column, i: Column) -> Column:
+        end = F.coalesce(F.get("starts", i + 1), F.size("m"))
+        times = F.transform(F.slice("m", s + 1, end - s), lambda x: x["usable_from"])
+        return F.struct(F.get("m", s)["n"].alias("start"), F.get("m", end - 1)["n"].alias("end"), F.array_min(times).alias("first"), F.array_max(times).alias("last"))
+
+    return members.withColumn("starts", starts).select("prefix", "block", F.transform("starts", run).alias("runs"))
 
 
 def orphan_references(refs: DataFrame, parents: DataFrame, hot_rows: int = 200_000) -> DataFrame:
@@ -67,28 +85,27 @@ def orphan_references(refs: DataFrame, parents: DataFrame, hot_rows: int = 200_0
     ref_ts has no parent in time, a null alive or parent_ts makes a row unusable. Repeated rows come out as often as they
     come in. Reasons: ``missing`` (no row), ``withdrawn`` (rows, none alive), ``later`` (alive only after the reference).
     """
-    prefix, number = _split(F.col("_k"))
-    asked = (
-        refs.withColumn("_k", comparable_key(F.col("ref_key")))
-        .where("_k is not null")
-        .withColumns({"prefix": prefix, "_n": number})
-        .withColumn("block", F.floor(F.col("_n") / BLOCK))
-        .drop("_k")
-    )
-    joined = salted_left_join(asked, key_runs(parents), ["prefix", "block"], [F.col("record_key"), F.col("ref_ts")], hot_rows=hot_rows)
-    run = F.element_at(F.filter("runs", lambda r: r["start"] <= F.col("_n")), -1)  # as-of: the last run that starts no later
-    usable = F.get(F.col("_run.usable_from"), (F.col("_n") - F.col("_run.start")).cast("int"))
+
+    def asked_of(rows: DataFrame) -> DataFrame:
+        prefix, number = split_key(F.col("_k"))
+        keyed = rows.withColumn("_k", comparable_key(F.col("ref_key"))).where("_k is not null").withColumns({"prefix": prefix, "_n": number})
+        return keyed.withColumn("block", F.floor(F.col("_n") / BLOCK)).drop("_k")
+
+    keys = materialize(usable_keys(parents), "keys")
+    counted = asked_of(refs.select("ref_key").sample(SAMPLED, 7)).select("prefix", "block")  # of one column, and few of its rows are split
+    joined = salted_left_join(asked_of(refs), key_runs(keys), ["prefix", "block"], [F.col("record_key"), F.col("ref_ts")], hot_rows=hot_rows, counted=counted)
+    run = F.try_element_at(F.filter("runs", lambda r: r["start"] <= F.col("_n")), F.lit(-1))  # as-of: the last that starts no later
+    ts = F.col("ref_ts")
     reason = (
         F.when(F.col("_run").isNull() | (F.col("_n") > F.col("_run.end")), F.lit("missing"))
-        .when(usable.isNull(), F.lit("withdrawn"))
-        .when(F.col("ref_ts").isNull() | (usable > F.col("ref_ts")), F.lit("later"))
-    )
-    return (
-        joined.withColumn("_run", F.when(F.size(F.filter("runs", lambda r: r["start"] <= F.col("_n"))) > 0, run))
-        .withColumn("reason", reason)
-        .where("reason is not null")
-        .drop("prefix", "block", "_n", "runs", "_run")
+        .when(F.col("_run.first").isNull(), F.lit("withdrawn"))
+        .when(ts.isNull() | (F.col("_run.first") > ts), F.lit("later"))
+        .when(F.col("_run.last") > ts, F.lit("between"))
     )
+    judged = joined.withColumn("_run", run).withColumn("reason", reason).where("reason is not null").drop("block", "runs", "_run")
+    judged = materialize(judged, "judged")
+    between = judged.where("reason = 'between'").join(keys.withColumnRenamed("n", "_n"), ["prefix", "_n"]).where("usable_from > ref_ts").withColumn("reason", F.lit("later"))
+    return judged.where("reason <> 'between'").drop("prefix", "_n").unionByName(between.drop("prefix", "_n", "usable_from"))
 
 
 def count_orphans(orphans: DataFrame) -> DataFrame:
