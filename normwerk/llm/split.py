@@ -9,6 +9,7 @@ that the work is the same for a thousand short items and for one very long one,
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 PIECE_SCHEMA = "item_type string, item_id string, piece_no int, n_pieces int, start int, end int, overlap int, content string"
 
-# Boundary ranks of a text, from weak to strong.
-HARD, SPACE, CLAUSE, SENTENCE, LINE, PARAGRAPH = range(6)
+# Boundary ranks of a text, from weak to strong. Those below SPACE are not natural: between any two characters, or even before
+# a combining one, and only in stretches without natural ones that are longer than a piece.
+TORN, HARD, SPACE, CLAUSE, SENTENCE, LINE, PARAGRAPH = range(-1, 6)
 #: Units (characters or rows) of a batch that are solved together.
 BATCH_UNITS = 4_000_000
 
@@ -62,30 +64,22 @@ def text_boundaries(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[keep], rank[keep]
 
 
-def _hard_cuts(codes: np.ndarray | None, at: np.ndarray, length: int, limit: int, step: int) -> list[int]:
-    """Cuts inside stretches without boundaries that are longer than a piece; never before a combining character."""
-    edges = [0, *at.tolist(), length]
-    out = []
-    for p, q in zip(edges, edges[1:]):
-        here = p
-        reach = limit if here == 0 else step
-        while q - here > reach:
-            cut = here + reach
-            if codes is not None:
-                back = cut
-                while back > here + reach - 32 and back > here + 1 and _attributes_of(codes[back : back + 1])[0] & _MARK:
-                    back -= 1
-                cut = cut if _attributes_of(codes[back : back + 1])[0] & _MARK else back
-            out.append(cut)
-            here, reach = cut, step
-    return out
+def _hard_boundaries(codes: np.ndarray, at: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, ranks) of all places inside stretches without natural boundaries that are longer than ``step``."""
+    edges = np.concatenate([[0], at, [len(codes)]])
+    long = np.flatnonzero(np.diff(edges) > step)
+    if not len(long):
+        return np.zeros(0, np.int64), np.zeros(0, np.int8)
+    places = np.concatenate([np.arange(edges[k] + 1, edges[k + 1]) for k in long])
+    return places, np.where(_attributes_of(codes[places]) & _MARK, TORN, HARD).astype(np.int8)
 
 
 def solve(lengths: list[int], boundaries: list[tuple[np.ndarray, np.ndarray]], limit: int, overlap: int) -> list[np.ndarray]:
     """For each item its cuts, from 0 to its length; consecutive ones are at most ``limit`` less the overlap apart.
 
-    The successor of a boundary is the farthest one of the best rank in the farther half of its reach, else the farthest in
-    the nearer half. Boundaries must lie densely enough that there is always one (see _hard_cuts).
+    The successor of a boundary is the farthest one of the best natural rank in the farther half of its reach, else the
+    farthest natural one in the nearer half, else the farthest of the best other rank. Boundaries must lie densely enough that
+    there is always one (see _hard_boundaries).
     """
     step = limit - overlap
     offsets = np.concatenate([[0], np.cumsum(np.asarray(lengths, np.int64) + 1)])  # items are one apart, so that ends differ from starts
@@ -100,18 +94,19 @@ def solve(lengths: list[int], boundaries: list[tuple[np.ndarray, np.ndarray]], l
     high = np.minimum(at + reach, at[end_of])
     succ = np.where(high == at[end_of], end_of, -1)
     half = at + reach // 2
-    for r in sorted(set(rank.tolist()) - {9}, reverse=True):
-        if not (succ < 0).any():
+    here = set(rank.tolist()) - {9}
+    natural = sorted((r for r in here if r >= SPACE), reverse=True)
+    for r, least in [*((r, half) for r in natural), *((min(natural), at) for _ in natural[:1]), *((r, at) for r in sorted(here - set(natural), reverse=True))]:
+        todo = np.flatnonzero(succ < 0)
+        if not len(todo):
             break
         ranked = index[rank >= r]
-        todo = np.flatnonzero(succ < 0)
         k = np.searchsorted(at[ranked], high[todo], "right") - 1
         found = ranked[np.maximum(k, 0)]
-        good = (k >= 0) & (at[found] > half[todo])
+        good = (k >= 0) & (at[found] > least[todo])
         succ[todo[good]] = found[good]
-    rest = np.flatnonzero(succ < 0)  # nothing in the farther half
-    succ[rest] = np.searchsorted(at, high[rest], "right") - 1
-    if (succ[rest] <= rest).any():
+    rest = np.flatnonzero(succ < 0)
+    if len(rest):
         raise ValueError("boundaries too far apart")
     reached = np.zeros(len(at), bool)
     reached[starts] = True
@@ -135,9 +130,9 @@ def cut_texts(texts: list[str], limit: int, overlap: int) -> list[list[tuple[int
     for text in texts:
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         at, rank = text_boundaries(codes)
-        hard = _hard_cuts(codes, at, len(codes), limit, limit - overlap)
-        if hard:
-            at, rank = np.concatenate([at, hard]), np.concatenate([rank, np.zeros(len(hard), np.int8)])
+        places, ranks = _hard_boundaries(codes, at, limit - overlap)
+        if len(places):
+            at, rank = np.concatenate([at, places]), np.concatenate([rank, ranks])
             order = np.argsort(at, kind="stable")
             at, rank = at[order], rank[order]
         bounds.append((at, rank))
@@ -145,19 +140,52 @@ def cut_texts(texts: list[str], limit: int, overlap: int) -> list[list[tuple[int
     return [[(max(0, a - overlap), b) for a, b in zip(c[:-1].tolist(), c[1:].tolist())] or [(0, 0)] for c in cuts]
 
 
-def row_ranks(rows: list) -> np.ndarray:
-    """Rank of the boundary before each row but the first: 2 before a heading row or after an empty one, else 1."""
-
-    def filled(row) -> int:
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{},]', re.S)
+
+
+def elements(array: str) -> list[tuple[int, int]]:
+    """(start, end) of each element of a JSON array in its text, without the white space around it."""
+    spans: list[tuple[int, int]] = []
+    depth, start = 0, 0
+
+    def close(end: int) -> None:
+        part = array[start:end]
+        if part.strip() or spans:
+            spans.append((start + len(part) - len(part.lstrip()), end - len(part) + len(part.rstrip())))
+
+    for m in _TOKEN.finditer(array):
+        c = m.group()
+        if c in ("[", "{"):
+            depth += 1
+            if depth == 1:
+                start = m.end()
+        elif c in ("]", "}"):
+            depth -= 1
+            if depth == 0:
+                close(m.start())
+                break
+        elif c == "," and depth == 1:
+            close(m.start())
+            start = m.end()
+    return spans
+
+
+def row_ranks(rows: list[str]) -> np.ndarray:
+    """Rank of the boundary before each row but the first: CLAUSE before a heading row or after an empty one, else SPACE."""
+
+    def shape(text: str) -> tuple[int, int]:
+        try:
+            row = json.loads(text, strict=False)
+        except (ValueError, RecursionError):  # what is no plain row is full
+            return 1, 2
         values = row.values() if isinstance(row, dict) else row if isinstance(row, list) else [row]
-        return sum(1 for v in values if v is not None and str(v).strip())
+        return len(values), sum(1 for v in values if v is not None and v != "" and (not isinstance(v, str) or v.strip()))
 
-    full = [filled(r) for r in rows]
-    width = [len(r) if isinstance(r, (dict, list)) else 1 for r in rows]
-    return np.array([2 if (w > 1 and f == 1) or before == 0 else 1 for f, w, before in zip(full[1:], width[1:], full)], np.int8)
+    shapes = [shape(r) for r in rows]
+    return np.array([CLAUSE if (w > 1 and f == 1) or before == 0 else SPACE for (w, f), (_, before) in zip(shapes[1:], shapes)], np.int8)
 
 
-def cut_tables(tables: list[list], limit: int, overlap: int) -> list[list[tuple[int, int]]]:
+def cut_tables(tables: list[list[str]], limit: int, overlap: int) -> list[list[tuple[int, int]]]:
     bounds = [(np.arange(1, len(t)), row_ranks(t)) for t in tables]
     cuts = solve([len(t) for t in tables], bounds, limit, overlap)
     return [[(max(0, a - overlap), b) for a, b in zip(c[:-1].tolist(), c[1:].tolist())] or [(0, 0)] for c in cuts]
@@ -179,11 +207,12 @@ def _pieces(text_limit: int, text_overlap: int, row_limit: int, row_overlap: int
                 for k, (a, b) in enumerate(parts):
                     rows.append(("chunk", i, k, len(parts), a, b, ends - a if k else 0, c[a:b]))
                     ends = b
-            tables = [(i, json.loads(c)) for kind, i, c in items if kind == "table"]
-            for (i, t), parts in zip(tables, cut_tables([t for _, t in tables], row_limit, row_overlap) if tables else ()):
+            tables = [(i, c, elements(c)) for kind, i, c in items if kind == "table"]
+            cut = cut_tables([[c[a:b] for a, b in spans] for _, c, spans in tables], row_limit, row_overlap) if tables else ()
+            for (i, c, spans), parts in zip(tables, cut):
                 ends = 0
                 for k, (a, b) in enumerate(parts):
-                    rows.append(("table", i, k, len(parts), a, b, ends - a if k else 0, json.dumps(t[a:b], ensure_ascii=False)))
+                    rows.append(("table", i, k, len(parts), a, b, ends - a if k else 0, f"[{c[spans[a][0] : spans[b - 1][1]]}]" if b > a else "[]"))
                     ends = b
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
 
@@ -211,8 +240,8 @@ def oversized(items: DataFrame, text_limit: int, row_limit: int) -> DataFrame:
 def split_oversized(items: DataFrame, text_limit: int = 4000, text_overlap: int = 200, row_limit: int = 60, row_overlap: int = 3) -> DataFrame:
     """items(item_type, item_id, content) -> the pieces of every item over its limit, columns as PIECE_SCHEMA.
 
-    item_type ``table`` has a JSON array of rows as content and counts rows; any other is text and counts code points. Each
-    piece but the first begins with the last ``overlap`` units of the one before; pieces less their overlaps are the item
+    item_type ``table`` has a JSON array of rows as content and counts rows; any other is text and counts code points. A table
+    is cut between the elements of its text, which are kept letter by letter (numbers too). Each piece but the first begins with the last ``overlap`` units of the one before; pieces less their overlaps are the item
     again. Items within the limit, null or invalid contents and null ids give no pieces; a repeated row gives its pieces
     again (the caller knows which rows are the same record). Ties between boundaries of one rank: the farthest.
     """

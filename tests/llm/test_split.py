@@ -17,8 +17,9 @@ def greedy(length, at, rank, limit, overlap):
             here = length
         else:
             near = [(r, p) for p, r in zip(at, rank) if here < p <= high]
-            far = [(r, p) for r, p in near if p > here + reach // 2]
-            here = max(far)[1] if far else max(p for _, p in near)
+            natural = [(r, p) for r, p in near if r >= S.SPACE]
+            far = [(r, p) for r, p in natural if p > here + reach // 2]
+            here = max(far)[1] if far else max(p for _, p in natural or near)
         cuts.append(here)
     return cuts
 
@@ -30,7 +31,7 @@ def test_doubling_is_greedy(seed):
     for _ in range(20):
         n = rng.choice([0, 1, 50, 51, 99, 400, 3000])
         at = sorted(rng.sample(range(1, n), min(n - 1, n // rng.choice([2, 7, 30])))) if n > 1 else []
-        hard = S._hard_cuts(None, np.array(at), n, 50, 43)
+        hard = S._hard_boundaries(np.full(n, ord("x"), np.uint32), np.array(at, np.int64), 43)[0].tolist()
         both = sorted([(p, rng.randint(1, 5)) for p in at] + [(p, 0) for p in hard])
         lengths.append(n)
         bounds.append((np.array([p for p, _ in both], np.int64), np.array([r for _, r in both], np.int8)))
@@ -79,7 +80,19 @@ def test_natural_boundaries():
     plain = "Nach Abs. 2 gilt Nr. 3 des Gesetzes sinngemäß. " * 200
     assert all(plain[:b].endswith("sinngemäß. ") for _, b in S.cut_texts([plain], 4000, 200)[0])
     rows = [{"n": str(i), "v": "x"} for i in range(50)] + [{"n": "Teil B", "v": ""}] + [{"n": str(i), "v": "x"} for i in range(100)]
-    assert S.cut_tables([rows], 60, 3)[0][0] == (0, 50)
+    assert S.cut_tables([[json.dumps(r) for r in rows]], 60, 3)[0][0] == (0, 50)
+    # a natural boundary in the nearer half comes before a place inside a word
+    assert S.cut_texts(["Wort " * 100 + "x" * 9000], 4000, 200)[0][0] == (0, 500)
+
+
+def test_tables_are_cut_in_their_text(spark):
+    rows = ['{"a": 1.10}', '{"a":12345678901234567890.123}', '{"a": "raw\ttab, [x] \\" {y"}', "[1, [2, {}]]", '"s, \\\\"', "null", "1e400"] * 20
+    text = " [ " + " ,\n".join(rows) + " ] "
+    assert [text[a:b] for a, b in S.elements(text)] == rows and S.elements("[]") == S.elements(" [ ] ") == [] and S.elements("[7]") == [(1, 2)]
+    df = spark.createDataFrame([("table", "t", text), ("table", "deep", "[" + ",".join(["[" * 900 + "]" * 900] * 70) + "]")], "item_type string, item_id string, content string")
+    pieces = sorted((r for r in S.split_oversized(df).collect() if r.item_id == "t"), key=lambda r: r.piece_no)
+    back = [e for r in pieces for e in [r.content[a:b] for a, b in S.elements(r.content)][r.overlap :]]
+    assert back == rows and len(pieces) == 3 and {r.item_id for r in S.split_oversized(df).collect()} == {"t", "deep"}
 
 
 def test_empty_input(spark):
