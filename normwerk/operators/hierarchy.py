@@ -7,8 +7,9 @@
 3. *Traversal.* An iterative depth-first search with three node colours runs through each component; an edge back to an
    open node closes a cycle.
 
-A component beyond ``max_component`` nodes never enters one task: its nodes are resolved by pointer doubling over the
-whole cluster instead, with the same result.
+A component beyond ``max_component`` nodes never enters one task: its nodes are resolved by list ranking over the whole
+cluster instead, with the same result. Each node then holds one pointer that doubles its reach each round, and sums; only
+paths, where they are asked for, are as long as they are deep.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import materialize
+from ..skew import salted_left_join
 
 #: Links contracted together; bounds the memory of a contraction, not the result.
 CONTRACT_ROWS = 200_000
@@ -150,7 +152,7 @@ def components(links: DataFrame) -> DataFrame:
 WHITE, GREY, BLACK = 0, 1, 2
 
 
-def traverse(nodes: list[str], parents: list[str | None]) -> Iterator[tuple]:
+def traverse(nodes: list[str], parents: list[str | None], paths: bool = True) -> Iterator[tuple]:
     """Rows of one component, without the table's name: an iterative depth-first search along the links to the children.
 
     Roots are searched first. Nodes still white afterwards never reach a root; the search from them follows the parents,
@@ -174,7 +176,7 @@ def traverse(nodes: list[str], parents: list[str | None]) -> Iterator[tuple]:
                 up = parent[node]
                 if up in parent:
                     below[up] += below[node] + 1
-                yield node, up, root, len(path), [*path, node], below[node], None, False
+                yield node, up, root, len(path), [*path, node] if paths else None, below[node], None, False
                 continue
             colour[node] = GREY
             path.append(node)
@@ -216,87 +218,119 @@ def traverse(nodes: list[str], parents: list[str | None]) -> Iterator[tuple]:
         yield node, parent[node], None, None, None, below[node], cycle, node in on_ring
 
 
-def _traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (record_table, component); a component may go over several batches."""
-    types = [pa.string()] * 4 + [pa.int32(), pa.list_(pa.string()), pa.int64(), pa.string(), pa.bool_()]
-    names = ["record_table", "node_id", "parent_id", "root_id", "depth", "path", "n_descendants", "cycle_id", "on_cycle"]
-    out: list[tuple] = []
-    entries = 0
-    key, nodes, parents = None, [], []
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
-
-    def run() -> Iterator[pa.RecordBatch]:
-        nonlocal entries, out
-        for row in traverse(nodes, parents) if nodes else ():
-            out.append((key[0], *row))
-            entries += 8 + len(row[4] or ())
-            if entries >= EMIT_ENTRIES:
-                yield batch_of(out)
-                out, entries = [], 0
-
-    for batch in batches:
-        for t, c, n, p in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if (t, c) != key:
-                yield from run()
-                key, nodes, parents = (t, c), [], []
-            nodes.append(n)
-            parents.append(p)
-    yield from run()
-    if out:
-        yield batch_of(out)
-
-
-def doubling(links: DataFrame) -> DataFrame:
-    """The rows of ``traverse`` for links(record_table, node_id, parent_id), by joins alone: no bound on a component.
-
-    Each node holds the ``trail`` of ids to ``at`` (exclusive of itself), which doubles its reach each round. Chains that end
-    are whole once nothing changes. Others are in cycles; their trail, cut at the first repetition, holds the cycle.
+def _traverse(paths: bool):
+    """Over rows sorted by (record_table, component); a component may go over several batches."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string()] * 4 + [pa.int32(), pa.list_(pa.string()), pa.int64(), pa.string(), pa.bool_()]
+        names = ["record_table", "node_id", "parent_id", "root_id", "depth", "path", "n_descendants", "cycle_id", "on_cycle"]
+        out: list[tuple] = []
+        entries = 0
+        key, nodes, parents = None, [], []
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
+
+        def run() -> Iterator[pa.RecordBatch]:
+            nonlocal entries, out
+            for row in traverse(nodes, parents, paths) if nodes else ():
+                out.append((key[0], *row))
+                entries += 8 + len(row[4] or ())
+                if entries >= EMIT_ENTRIES:
+                    yield batch_of(out)
+                    out, entries = [], 0
+
+        for batch in batches:
+            for t, c, n, p in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if (t, c) != key:
+                    yield from run()
+                    key, nodes, parents = (t, c), [], []
+                nodes.append(n)
+                parents.append(p)
+        yield from run()
+        if out:
+            yield batch_of(out)
+
+    return search
+
+
+def _rank(links: DataFrame) -> DataFrame:
+    """links(record_table, node_id, parent_id) -> (..., there, at, steps, ended, least, on_cycle) by list ranking.
+
+    ``there``: the parent is among the nodes. ``at`` is the ancestor ``steps`` above, which doubles each round until it is
+    the root (``ended``); ``least`` is the smallest id of those stepped over. What has not ended after more steps than there
+    are nodes leads into a cycle: ``at`` is then on it, every node of it is the ``at`` of one, and ``least`` from there is the
+    smallest of all of it.
     """
     known = links.select("record_table", F.col("node_id").alias("parent_id"), F.lit(True).alias("there"))
-    first = links.join(known, ["record_table", "parent_id"], "left")
-    state = materialize(
-        first.select("record_table", "node_id", "parent_id", F.when(F.col("there"), F.col("parent_id")).alias("at"), F.when(F.col("there"), F.array("parent_id")).otherwise(F.array().cast("array<string>")).alias("trail"), F.lit(False).alias("looped")),
-        "doubling",
-    )
-    while state.where("at is not null and not looped").limit(1).count():
-        step = state.select("record_table", F.col("node_id").alias("at"), F.col("at").alias("at2"), F.col("trail").alias("trail2"))
-        going = state.where("at is not null and not looped").join(step, ["record_table", "at"], "left")
-        trail = F.concat("trail", F.coalesce("trail2", F.array().cast("array<string>")))
-        moved = going.select("record_table", "node_id", "parent_id", F.col("at2").alias("at"), trail.alias("trail")).withColumn(
-            "looped", F.size(F.array_distinct("trail")) < F.size("trail")
+    first = links.join(known, ["record_table", "parent_id"], "left").withColumn("there", F.col("there").isNotNull())
+    top = first.where("not there").select("record_table", F.col("node_id").alias("at"), F.lit(True).alias("ended"))
+    state = first.withColumns({"at": F.when(F.col("there"), F.col("parent_id")).otherwise(F.col("node_id")), "steps": F.col("there").cast("bigint"), "least": F.col("node_id")})
+    state = materialize(state.join(top, ["record_table", "at"], "left").withColumn("ended", F.col("ended").isNotNull()), "rank")
+    rounds = max(1, math.ceil(math.log2(state.count() + 1))) + 1
+    for _ in range(rounds):
+        going = state.where("not ended")
+        if going.isEmpty():
+            break
+        step = state.select("record_table", F.col("node_id").alias("at"), F.col("at").alias("at2"), F.col("steps").alias("steps2"), F.col("ended").alias("ended2"), F.col("least").alias("least2"))
+        moved = salted_left_join(going, step, ["record_table", "at"], [F.col("node_id")], how="inner").select(
+            "record_table", "node_id", "parent_id", "there", F.col("at2").alias("at"), (F.col("steps") + F.col("steps2")).alias("steps"), F.col("ended2").alias("ended"), F.least("least", "least2").alias("least")
         )
-        state = materialize(state.where("at is null or looped").unionByName(moved), "doubling")
-    trees = state.where("not looped").select(
-        "record_table", "node_id", "parent_id", F.when(F.size("trail") > 0, F.element_at("trail", -1)).otherwise(F.col("node_id")).alias("root_id"),
-        F.size("trail").alias("depth"), F.concat(F.reverse("trail"), F.array("node_id")).alias("path"), F.lit(None).cast("string").alias("cycle_id"), F.lit(False).alias("on_cycle"),
-    )
-    # the last id of a trail that repeats is on the cycle, and so is all that stands between its last two places
-    last = F.element_at("trail", -1)
-    back = F.reverse("trail")
-    distance = F.array_position(F.slice(back, F.lit(2), F.size(back)), last).cast("int")
-    loops = state.where("looped").withColumn("_ring", F.when(distance > 0, F.slice(back, F.lit(1), distance)))
-    loops = loops.select(
-        "record_table", "node_id", "parent_id", F.lit(None).cast("string").alias("root_id"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("array<string>").alias("path"),
-        F.array_min("_ring").alias("cycle_id"), F.array_contains("_ring", F.col("node_id")).alias("on_cycle"), "trail",
-    )
-    pairs = trees.select("record_table", F.explode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("node_id")).unionByName(
-        loops.select("record_table", "node_id", F.explode(F.array_distinct("trail")).alias("up")).where("up <> node_id").select("record_table", F.col("up").alias("node_id"))
-    )
-    counts = pairs.groupBy("record_table", "node_id").agg(F.count(F.lit(1)).alias("n_descendants"))
-    every = trees.unionByName(loops.drop("trail"))
-    columns = [x.split(" ")[0] for x in NODE_SCHEMA.split(", ")]
-    return every.join(counts, ["record_table", "node_id"], "left").withColumn("n_descendants", F.coalesce("n_descendants", F.lit(0).cast("bigint"))).select(*columns)
+        state = materialize(state.where("ended").select(*moved.columns).unionByName(moved), "rank")
+    ring = state.where("not ended").select("record_table", F.col("at").alias("node_id")).distinct().withColumn("on_cycle", F.lit(True))
+    return materialize(state.join(ring, ["record_table", "node_id"], "left").withColumn("on_cycle", F.col("on_cycle").isNotNull()), "ranked")
+
 
+def _below(ranked: DataFrame) -> DataFrame:
+    """(record_table, node_id, n) of the trees that are left without the links between nodes of a cycle: n nodes below each.
 
-def hierarchy(rows: DataFrame, max_component: int = MAX_COMPONENT) -> DataFrame:
+    In round k each node holds how many are less than 2^k below it, and its ancestor 2^k above, to which that number is added.
+    """
+    up = F.when(F.col("there") & ~F.col("on_cycle"), F.col("parent_id"))
+    state = materialize(ranked.select("record_table", "node_id", up.alias("up"), F.lit(1).cast("bigint").alias("n")), "below")
+    while not state.where("up is not null").isEmpty():
+        more = state.where("up is not null").groupBy("record_table", F.col("up").alias("node_id")).agg(F.sum("n").alias("m"))
+        above = state.select("record_table", F.col("node_id").alias("up"), F.col("up").alias("up2"))
+        going = salted_left_join(state.where("up is not null"), above, ["record_table", "up"], [F.col("node_id")]).select("record_table", "node_id", F.col("up2").alias("up"), "n")
+        moved = state.where("up is null").select(*going.columns).unionByName(going).join(more, ["record_table", "node_id"], "left")
+        state = materialize(moved.select("record_table", "node_id", "up", (F.col("n") + F.coalesce("m", F.lit(0))).alias("n")), "below")
+    return state.select("record_table", "node_id", (F.col("n") - 1).alias("n"))
+
+
+def _paths(ranked: DataFrame) -> DataFrame:
+    """(record_table, node_id, path) of the nodes that reach a root; the ids above double each round."""
+    none = F.array().cast("array<string>")
+    up = F.when(F.col("there"), F.col("parent_id"))
+    state = materialize(ranked.where("ended").select("record_table", "node_id", up.alias("up"), F.when(F.col("there"), F.array("parent_id")).otherwise(none).alias("trail")), "paths")
+    while not state.where("up is not null").isEmpty():
+        above = state.select("record_table", F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("trail").alias("trail2"))
+        moved = salted_left_join(state.where("up is not null"), above, ["record_table", "up"], [F.col("node_id")], how="inner").select("record_table", "node_id", F.col("up2").alias("up"), F.concat("trail", "trail2").alias("trail"))
+        state = materialize(state.where("up is null").select(*moved.columns).unionByName(moved), "paths")
+    return state.select("record_table", "node_id", F.concat(F.reverse("trail"), F.array("node_id")).alias("path"))
+
+
+def doubling(links: DataFrame, paths: bool = True) -> DataFrame:
+    """The rows of ``traverse`` for links(record_table, node_id, parent_id), by joins alone: no bound on a component."""
+    ranked = _rank(links)
+    tree, key = F.col("ended"), ["record_table", "node_id"]
+    ring = ranked.select("record_table", F.col("node_id").alias("at"), F.col("least").alias("ring_id"))
+    looping = salted_left_join(ranked.where("not ended"), ring, ["record_table", "at"], [F.col("node_id")]).select(*key, F.col("ring_id").alias("cycle_id"))
+    sizes = looping.groupBy("record_table", "cycle_id").agg((F.count(F.lit(1)) - 1).alias("others"))  # below each node of a cycle are all others
+    whole = ranked.join(_below(ranked), key).join(looping, key, "left").join(sizes, ["record_table", "cycle_id"], "left")
+    whole = whole.join(_paths(ranked), key, "left") if paths else whole.withColumn("path", F.lit(None).cast("array<string>"))
+    return whole.select(
+        *key, "parent_id", F.when(tree, F.col("at")).alias("root_id"), F.when(tree, F.col("steps").cast("int")).alias("depth"), "path",
+        F.when(F.col("on_cycle"), F.col("others")).otherwise(F.col("n")).alias("n_descendants"), "cycle_id", "on_cycle",
+    ).select(*[x.split(" ")[0] for x in NODE_SCHEMA.split(", ")])
+
+
+def hierarchy(rows: DataFrame, max_component: int = MAX_COMPONENT, paths: bool = True) -> DataFrame:
     """rows(record_table, node_id, parent_id, stamp, place) -> one row a node, columns as NODE_SCHEMA.
 
     ``place`` only says which rows probably belong together (a document id); it doesn't change the result and may be null.
     A parent that doesn't exist ends the chain: its child is a root and keeps parent_id. Nodes on a cycle or leading into one
     have a cycle_id (the cycle's smallest id) and no root, depth or path. Repeated rows are one node; an empty input gives an
-    empty result.
+    empty result. Without ``paths`` all paths are null, which spares a chain of n nodes n * n / 2 ids.
     """
     placed = materialize(components(latest_links(rows)), "components")
     large = placed.groupBy("record_table", "component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_component)
@@ -311,9 +345,9 @@ def hierarchy(rows: DataFrame, max_component: int = MAX_COMPONENT) -> DataFrame:
         .repartition("record_table", "component")
         .sortWithinPartitions("record_table", "component", "node_id")
     )
-    result = by_component.mapInArrow(_traverse, NODE_SCHEMA)
+    result = by_component.mapInArrow(_traverse(paths), NODE_SCHEMA)
     if rest is not None:
-        result = result.unionByName(doubling(rest.select("record_table", "node_id", "parent_id")))
+        result = result.unionByName(doubling(rest.select("record_table", "node_id", "parent_id"), paths))
     return result
 
 

@@ -37,18 +37,18 @@ def p3_by_month(spark: SparkSession, root: str) -> DataFrame:
     return references.count_orphans(_orphans(spark, root))
 
 
-def _trees(spark: SparkSession, root: str) -> DataFrame:
+def _trees(spark: SparkSession, root: str, paths: bool = True) -> DataFrame:
     units, chunks = table(spark, root, "structural_units"), table(spark, root, "chunks")
     rows = units.select(
         F.lit("structural_units").alias("record_table"), F.col("unit_id").alias("node_id"), F.col("parent_unit_id").alias("parent_id"), F.col("loaded_at").alias("stamp"), F.col("document_id").alias("place")
     ).unionByName(
         chunks.select(F.lit("chunks").alias("record_table"), F.col("chunk_id").alias("node_id"), F.col("parent_chunk_id").alias("parent_id"), F.col("loaded_at").alias("stamp"), F.col("document_id").alias("place"))
     )
-    return hierarchy.hierarchy(rows)
+    return hierarchy.hierarchy(rows, paths=paths)
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
-    return _trees(spark, root).where("cycle_id is not null").select("record_table", "node_id", "cycle_id")
+    return _trees(spark, root, paths=False).where("cycle_id is not null").select("record_table", "node_id", "cycle_id")
 
 
 def p4_hierarchy(spark: SparkSession, root: str) -> DataFrame:
