@@ -168,10 +168,16 @@ def near_enough(core: str, squeezed: str, entry: str, jaccard: float) -> tuple[b
     An entry that is found inside a longer core counts only if what is left over looks like an addition (a word of its own,
     or an article that was typed together with the name), not like the beginning of another compound.
     """
-    inside, whole = distance(entry, squeezed, anywhere=True), distance(core, entry)
+    whole = distance(core, entry)
+    if whole == 0:
+        return True, 0
+    meant = whole <= EDITS and len(entry) >= LEAST_ENTRY
     over = len(core) - len(entry)
     added = over <= 1 or over >= 4 or core.startswith(_LEADS)
-    fine = (whole <= 2 and (len(entry) >= LEAST_ENTRY or whole == 0)) or (added and ((inside <= 1 and jaccard >= 0.5) or (inside == 2 and jaccard >= 0.55)))
+    if not meant and not added:
+        return False, whole
+    inside = distance(entry, squeezed, anywhere=True)
+    fine = meant or (added and ((inside <= 1 and jaccard >= 0.5) or (inside == 2 and jaccard >= 0.55)))
     return fine, min(inside, whole)
 
 
