@@ -1,8 +1,9 @@
 """Cutting lineage through the folder that all executors share.
 
 A materialised step is a Parquet table below ``spark.checkpoint.dir``: columnar and compressed, so it takes less disk than
-a checkpointed RDD, and it outlives any executor. Where that setting is missing (tests, notebooks on one machine) a
-temporary folder of the driver is used. The tables are deleted when the driver's process ends.
+a checkpointed RDD, and it outlives any executor. Where that setting is missing, one machine that runs all (a local master)
+uses a temporary folder of its own; on a cluster that is an error, since each executor would write to a disk of its own. The
+tables are deleted by ``release``, once a result has been read, or when the driver's process ends.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="normwerk-")
     return "file://" + _own_folder

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,11 +51,24 @@ def slug(x: Column) -> Column:
     return F.btrim(F.regexp_replace(out, "[^a-z0-9]+", "_"), F.lit("_"))
 
 
+@lru_cache(maxsize=1)
+def _plain_letters() -> str:
+    """As JSON: each character of the basic plane whose compatibility decomposition has ASCII in it, and that."""
+    forms = {chr(c): "".join(x for x in unicodedata.normalize("NFKD", chr(c)) if x < "\x80") for c in range(0x80, 0x10000)}
+    return json.dumps({c: form for c, form in forms.items() if form})
+
+
+def ascii_only(x: Column) -> Column:
+    """Accents dropped from their letters and compatibility forms resolved; what is not ASCII then is dropped."""
+    plain = F.from_json(F.lit(_plain_letters()), "map<string,string>")
+    letters = F.transform(F.split(x, ""), lambda c: F.when(c < "\x80", c).otherwise(F.coalesce(plain[c], F.lit(""))))
+    return F.when(x.rlike(r"[^\x00-\x7f]"), F.array_join(letters, "")).otherwise(x)
+
+
 def slug_eu(x: Column) -> Column:
     """Slug of European acts: accents dropped from their letters, what is not ASCII dropped; empty becomes ``unbezeichnet``."""
     out = F.replace(F.replace(F.lower(x), F.lit("§"), F.lit(" para ")), F.lit("&"), F.lit(" und "))
-    out = F.regexp_replace(F.translate(out, ACCENTED, UNACCENTED), r"[^\x00-\x7f]", "")
-    out = F.btrim(F.regexp_replace(out, "[^a-z0-9]+", "_"), F.lit("_"))
+    out = F.btrim(F.regexp_replace(F.lower(ascii_only(out)), "[^a-z0-9]+", "_"), F.lit("_"))
     return F.when(out == "", "unbezeichnet").otherwise(out)
 
 
@@ -104,16 +121,38 @@ def snippet(text: Column, terms: list[str], width: int = 200) -> Column:
     return F.when(F.char_length(text) <= width, text).otherwise(back)
 
 
+# Kinds of European acts and their letter in a CELEX number.
+CELEX_LETTERS = {"verordnung": "R", "richtlinie": "L", "beschluss": "D", "entscheidung": "D"}
+
+
 def celex_of_key(x: Column) -> Column:
-    """CELEX number of a document key: sector 3, year, type letter, number with four digits."""
+    """CELEX number of a document key: sector 3, year, type letter, number with four digits; null if it names none.
+
+    Keys name the act's number before or after its body. Which of the two numbers is the year: of old acts ("nr") the
+    second, the first of those of the EU since 2015; else the one that can be a year, the first if both can and it is 2015 or
+    later. A year of 1900 to 1949 stands for one of the 2000s.
+    """
     celex = F.upper(F.regexp_extract(x, r"^celex_(3\d{4}[rld]\d{4})", 1))
-    named = r"^(verordnung|richtlinie|beschluss)_(?:(?:eu|eg|ewg)_)?(?:nr_)?(\d{1,4})_(\d{2,4})(?:_(?:eu|eg|ewg))?$"
-    kind, a, b = (F.regexp_extract(x, named, i) for i in (1, 2, 3))
-    letter = F.when(kind == "verordnung", "R").when(kind == "richtlinie", "L").when(kind == "beschluss", "D")
-    year_first = (F.length(a) == 4) & a.rlike("^(?:19|20)") & ~x.rlike("_nr_")
-    year, number = F.when(year_first, a).otherwise(b), F.when(year_first, b).otherwise(a)
-    year = F.when(F.length(year) == 2, F.concat(F.when(year >= "50", "19").otherwise("20"), year)).otherwise(year)
-    return F.when(celex != "", celex).when(kind != "", F.concat(F.lit("3"), year, letter, F.lpad(number, 4, "0")))
+    named = r"(?i)^(verordnung|richtlinie|beschluss|entscheidung)_(eu|eg|ewg|eag)(_nr)?_(\d{2,4})_(\d{1,4})$"
+    before = r"(?i)^(verordnung|richtlinie|beschluss|entscheidung)_(\d{4})_(\d{1,4})_(?:eu|eg|ewg|eag)$"
+    part = lambda pattern, i: F.lower(F.regexp_extract(x, pattern, i))
+    letter = lambda kind: F.create_map(*[F.lit(v) for pair in CELEX_LETTERS.items() for v in pair])[kind]
+    number = lambda c: c.try_cast("int")
+    made = lambda kind, year, n: F.concat(F.lit("3"), F.lpad(year.cast("string"), 4, "0"), letter(kind), F.lpad(n.cast("string"), 4, "0"))
+
+    first, second = part(before, 2), part(before, 3)
+    turned = (number(first) < 1950) & (F.length(second) == 4) & (number(second) >= 1950)
+    suffixed = made(part(before, 1), F.when(turned, number(second)).otherwise(number(first)), F.when(turned, number(first) % 100).otherwise(number(second)))
+
+    kind, body, old, a, b = (part(named, i) for i in range(1, 6))
+    could = lambda c: (F.length(c) == 4) & (number(c) >= 1950) & (number(c) <= F.year(F.current_date()) + 2)
+    century = lambda c: F.when(number(c).between(1900, 1949), number(c) + 100).otherwise(number(c))
+    is_old, is_eu = old != "", body == "eu"
+    first_is_year = F.when(is_old & ~is_eu, False).when(is_old & (number(a) >= 2015), True).when(is_old & number(b).between(1900, 1949), False).when(could(a) & (~could(b) | (number(a) >= 2015)), True).when(could(b), False).when(F.length(a) == 4, True).when(F.length(b) == 4, False)
+    by_old = is_old & ~first_is_year
+    year = F.when(first_is_year, number(a)).when(by_old, century(b)).otherwise(number(b))
+    whole = F.when(first_is_year.isNotNull(), made(kind, year, F.when(first_is_year, number(b)).otherwise(number(a))))
+    return F.when(celex != "", celex).when(part(before, 1) != "", suffixed).when(kind != "", whole)
 
 
 def eu_aliases(kind: Column, year: Column, number: Column) -> Column:

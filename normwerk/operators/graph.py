@@ -75,9 +75,12 @@ def rollup(references: DataFrame, chunk: str, unit: str, document: str, target:
 
 
 def close_aliases(placeholders: DataFrame, documents: DataFrame) -> DataFrame:
-    """placeholders(document_key) -> the document that takes its place, where the alias names one document only.
+    """placeholders(document_key) -> the document that takes its place, null where the alias is ambiguous.
 
-    documents(document_id, document_key, published): of several documents of one key the latest published, then the greatest id.
+    documents(document_id, document_key, base_celex, published): several documents of one key are ambiguous unless all have
+    the same base CELEX number; then the latest published is it, then the greatest id.
     """
-    best = documents.groupBy("document_key").agg(F.max_by("document_id", F.struct("published", "document_id")).alias("document_id"), F.count(F.lit(1)).alias("n_documents"))
+    agreed = (F.count(F.lit(1)) == 1) | ((F.count("base_celex") == F.count(F.lit(1))) & (F.count_distinct("base_celex") == 1))
+    latest = F.max_by("document_id", F.struct("published", "document_id"))
+    best = documents.groupBy("document_key").agg(F.when(agreed, latest).alias("document_id"), F.count(F.lit(1)).alias("n_documents"))
     return placeholders.select("document_key").distinct().join(best, "document_key", "left")

@@ -31,10 +31,11 @@ def by_unique_suffix(asked: DataFrame, units: DataFrame, asked_key: str, unit_ke
     return both.groupBy(*scope, asked_key).agg(F.countDistinct("_u").alias("n"), F.min("_u").alias("unit_id")).where("n = 1").drop("n")
 
 
-def ancestors_of_key(key: Column, most: int = 6) -> Column:
-    """A key and its ancestors, nearest first: levels below a unit are stripped one by one."""
+def ancestors_of_key(key: Column) -> Column:
+    """A key and its ancestors, nearest first: levels below a unit are stripped one by one, as many as there are."""
     step = lambda a: F.concat(a, F.array(F.regexp_replace(F.element_at(a, -1), LEVEL, "")))
-    return F.array_distinct(F.aggregate(F.sequence(F.lit(1), F.lit(most)), F.array(key), lambda a, _: step(a)))
+    most = F.greatest(F.lit(1), F.regexp_count(key, F.lit(LEVEL[:-1])))
+    return F.array_distinct(F.aggregate(F.sequence(F.lit(1), most), F.array(key), lambda a, _: step(a)))
 
 
 def nearest_ancestor(asked: DataFrame, asked_key: str, keys: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ record_id, parent_id, parent_kind, position, fields). ``write_tables`` then writ
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import deepjson
+
 EMITTED = "payload_id bigint, record_kind string, record_id string, parent_id string, parent_kind string, position int, fields string"
 
 #: Part name -> kind of the records that stand in it.
@@ -35,7 +36,7 @@ def _decoded(value):
     """A part that was encoded as JSON text once or several times."""
     while isinstance(value, str) and value.lstrip()[:1] in ("{", "[", '"'):
         try:
-            value = json.loads(value)  # of a text, always a shorter one
+            value = deepjson.loads(value)  # of a text, always a shorter one
         except ValueError:
             break
     return value
@@ -69,7 +70,7 @@ def visit(payload) -> Iterator[tuple[str, str, str, str, int, str]]:
             if own:
                 parent, parent_kind = _parent(kind, value, within)
                 leaf = {k: v for k, v in value.items() if k not in PARTS and k != ID_FIELD[kind]}
-                yield kind, own, parent, parent_kind, position, json.dumps(leaf, ensure_ascii=False)
+                yield kind, own, parent, parent_kind, position, deepjson.dumps(leaf)
                 inner = {**within, kind: own}
                 if kind == "document":
                     inner = {"document": own}
@@ -114,18 +115,11 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 0
         for payload_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             try:
-                payload = json.loads(text) if text and text.strip() else None
-            except (ValueError, RecursionError):
+                payload = deepjson.loads(text) if text and text.strip() else None
+            except ValueError:
                 out.append((payload_id, "invalid", "", "", "", 0, None))
                 continue
-            rows = visit(payload)
-            while True:
-                try:
-                    row = next(rows, None)
-                except RecursionError:  # a part or field deeper than JSON can be parsed or written
-                    row = ("invalid", "", "", "", 0, None)
-                if row is None:
-                    break
+            for row in visit(payload):
                 out.append((payload_id, *row))
                 size += 100 + len(row[-1] or "")
                 if size > 8_000_000:
@@ -139,8 +133,7 @@ def flatten(payloads: DataFrame) -> DataFrame:
     """payloads(payload_id, payload, ...) -> tagged rows, columns as EMITTED.
 
     A payload that is null, blank or empty has no records. One that is not valid JSON gives one row of the kind ``invalid``,
-    so that it can be reported; so does one of which a part is deeper than JSON can be parsed, beside the records before that
-    part. Records without an id have no row of their own (answers need none); what they enclose
+    so that it can be reported. Neither levels nor encodings are bounded. Records without an id have no row of their own (answers need none); what they enclose
     hangs on the next record outside. Repeated payload rows repeat their records.
     """
     return payloads.select(F.col("payload_id").cast("bigint").alias("payload_id"), F.col("payload").cast("string").alias("payload")).mapInArrow(_emit, EMITTED)

@@ -156,9 +156,17 @@ def eu_number_aliases(spark, root):
     return laws.select("law_key", F.when(F.col("act_number").isNotNull(), F.array_join(N.eu_aliases(k, y, n), ", ")).alias("aliases"))
 
 
-@query(f"select document_key, upper(nullif(regexp_extract(document_key, '^celex_(3\\d{{4}}[rld]\\d{{4}})', 1), '')) as celex from (select distinct document_key from structural_units where document_key like 'celex%')")
+@query("""with k as (select distinct document_key from structural_units where document_key is not null union select distinct 'verordnung_eu_' || replace(act_number, '/', '_') from core_laws where act_number is not null union select distinct 'richtlinie_' || replace(act_number, '/', '_') || '_eg' from core_laws where act_number is not null
+union select distinct 'entscheidung_eg_nr_' || split_part(act_number, '/', 2) || '_' || split_part(act_number, '/', 1) from core_laws where act_number is not null),
+n as (select document_key, regexp_extract(document_key, '^celex_(3\\d{4}[rld]\\d{4})', 1) as c, regexp_extract(document_key, '_(\\d+)_(\\d+)(_eg)?$', 1) as a, regexp_extract(document_key, '_(\\d+)_(\\d+)(_eg)?$', 2) as b from k),
+y as (select *, extract(year from current_date) + 2 as top from n),
+f as (select *, case when document_key like 'entscheidung%' then false when document_key like 'richtlinie%' then true when length(a) = 4 and a::int between 1950 and top and (not (length(b) = 4 and b::int between 1950 and top) or a::int >= 2015) then true when length(b) = 4 and b::int between 1950 and top then false when length(a) = 4 then true when length(b) = 4 then false end as first from y where a <> '' and c = '')
+select document_key, upper(c) as celex from n where c <> '' or a = '' and c <> '' union all select document_key, null from n where c = '' and a = '' union all
+select document_key, case when document_key like 'richtlinie%' and a::int < 1950 and length(b) = 4 and b::int >= 1950 then '3' || b || 'L' || lpad((a::int % 100)::varchar, 4, '0') when first is not null then '3' || lpad((case when first then a::int when document_key like 'entscheidung%' and b::int between 1900 and 1949 then b::int + 100 else b::int end)::varchar, 4, '0') || case when document_key like 'verordnung%' then 'R' when document_key like 'richtlinie%' then 'L' else 'D' end || lpad((case when first then b::int else a::int end)::varchar, 4, '0') end from f""")
 def celex_numbers(spark, root):
-    keys = table(spark, root, "structural_units").select("document_key").where("document_key like 'celex%'").distinct()
+    laws = table(spark, root, "core_laws").where("act_number is not null").select(F.split_part("act_number", F.lit("/"), F.lit(1)).alias("y"), F.split_part("act_number", F.lit("/"), F.lit(2)).alias("n"))
+    named = laws.select(F.explode(F.array(F.format_string("verordnung_eu_%s_%s", "y", "n"), F.format_string("richtlinie_%s_%s_eg", "y", "n"), F.format_string("entscheidung_eg_nr_%s_%s", "n", "y"))).alias("document_key"))
+    keys = table(spark, root, "structural_units").select("document_key").where("document_key is not null").unionByName(named).distinct()
     return keys.select("document_key", N.celex_of_key(F.col("document_key")).alias("celex"))
 
 
@@ -184,7 +192,7 @@ union all select u.unit_id, u.document_id, t.depth + 1 from u join t on t.unit_i
 def outline_depth(spark, root):
     u = units(spark, root)
     rows = u.select(F.concat_ws("\0", "document_id").alias("record_table"), F.col("unit_id").alias("node_id"), F.col("parent_unit_id").alias("parent_id"), F.col("loaded_at").alias("stamp"), F.col("document_id").alias("place"))
-    return hierarchy.hierarchy(rows).where("depth <= 3").select(F.col("record_table").alias("document_id"), F.col("node_id").alias("unit_id"), "depth")
+    return hierarchy.hierarchy(rows, paths=False).where("depth <= 3").select(F.col("record_table").alias("document_id"), F.col("node_id").alias("unit_id"), "depth")
 
 
 @query(f"""with recursive {U}, {C}, own as (select unit_id, min(page_start) as a, max(page_end) as b from c where page_start <= page_end group by unit_id),
@@ -290,10 +298,10 @@ def conflicting_records(spark, root):
 
 
 @query(f"""with {U}, {R}, p as (select distinct target_document_key as document_key from r where resolution_status = 'unresolved' and target_document_key is not null),
-d as (select document_key, arg_max(document_id, (loaded_at, document_id)) as document_id, count(*) as n_documents from (select document_key, document_id, max(loaded_at) as loaded_at from u where document_key is not null group by 1, 2) group by 1)
+d as (select document_key, case when count(*) = 1 or regexp_matches(document_key, '^celex_3\\d{{4}}[rld]\\d{{4}}') then arg_max(document_id, (loaded_at, document_id)) end as document_id, count(*) as n_documents from (select document_key, document_id, max(loaded_at) as loaded_at from u where document_key is not null group by 1, 2) group by 1)
 select p.document_key, d.document_id, d.n_documents from p left join d on d.document_key = p.document_key""")
 def alias_closing(spark, root):
-    docs = units(spark, root).where("document_key is not null").groupBy("document_key", "document_id").agg(F.max("loaded_at").alias("published"))
+    docs = units(spark, root).where("document_key is not null").groupBy("document_key", "document_id").agg(F.max("loaded_at").alias("published")).withColumn("base_celex", N.celex_of_key(F.col("document_key")))
     placeholders = table(spark, root, "refers_to_edges").where("resolution_status = 'unresolved' and target_document_key is not null").select(F.col("target_document_key").alias("document_key"))
     return graph.close_aliases(placeholders, docs)
 

@@ -29,6 +29,10 @@ def slug(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", text).strip("_")
 
 
+# Elements that stand apart from the text around them.
+BLOCKS = frozenset("BR br P DL DT DD LA NO.PARAG NO.P ALINEA PARAG LIST ITEM NP TXT TITLE TI STI TI.ART STI.ART GR.SEQ".split())
+
+
 def flat(node: ET.Element | None, skip: tuple[str, ...] = ()) -> str:
     """All text below a node with white space collapsed, without what is below the tags of ``skip``."""
     if node is None:
@@ -38,10 +42,12 @@ def flat(node: ET.Element | None, skip: tuple[str, ...] = ()) -> str:
     def walk(e: ET.Element) -> None:
         out.append(e.text or "")
         for child in e:
-            if child.tag in ("BR", "br"):
+            if child.tag in BLOCKS:
                 out.append(" ")
-            elif child.tag not in skip:
+            if child.tag not in skip:
                 walk(child)
+            if child.tag in BLOCKS:
+                out.append(" ")
             out.append(child.tail or "")
 
     walk(node)
@@ -92,7 +98,7 @@ def header_columns(header: list[list[str]], width: int) -> list[str]:
 
 
 def continue_table(left: tuple[list[str], list[list[str]]], right: tuple[list[str], list[list[str]]]) -> tuple[list[str], list[list[str]]] | None:
-    """A table and its continuation as one: rows appended if the columns are equal, else columns joined on up to 4 leading key columns of which 8 in 10 rows agree."""
+    """A table and its continuation as one: rows appended if the columns are equal, else columns joined on up to 4 leading key columns in which 8 in 10 rows agree, blank ones and the headers aside."""
     (lc, lr), (rc, rr) = left, right
     if lc == rc:
         return lc, lr + rr
@@ -100,7 +106,8 @@ def continue_table(left: tuple[list[str], list[list[str]]], right: tuple[list[st
         return None
     keys = 0
     for k in range(1, min(4, len(lc), len(rc)) + 1):
-        if lc[:k] != rc[:k] or sum(a[:k] == b[:k] for a, b in zip(lr, rr)) < 0.8 * len(lr):
+        filled = [(a[:k], b[:k]) for a, b in zip(lr, rr) if any(x.strip() for x in (*a[:k], *b[:k]))]
+        if not filled or sum(a == b for a, b in filled) < 0.8 * len(filled):
             break
         keys = k
     if not keys:

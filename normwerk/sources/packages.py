@@ -28,16 +28,18 @@ class Refused(ValueError):
 
 def preflight(data: bytes) -> None:
     """Refuse internal DTDs and entity declarations; an external DOCTYPE that declares nothing is inert."""
-    head = data[: 2**20]
     if re.search(rb"<!ENTITY", data, re.I):
         raise Refused("entity_declaration")
-    if re.search(rb"<!DOCTYPE[^>\[]*\[", head, re.I):
+    if re.search(rb"<!DOCTYPE[^>\[]*\[", data, re.I):
         raise Refused("internal_dtd")
 
 
+_PROLOG = re.compile(rb"(?:\xef\xbb\xbf|\s+|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>)*", re.S)
+
+
 def root_of(data: bytes) -> str:
-    body = re.sub(rb"^\xef\xbb\xbf|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>", b"", data[: 2**16], flags=re.S)
-    m = re.search(rb"<([A-Za-z_][\w.\-]*)", body)
+    """The name of the first element, however long what stands before it."""
+    m = re.compile(rb"<([A-Za-z_][\w.\-]*)").match(data, _PROLOG.match(data).end())
     return m[1].decode() if m else ""
 
 

@@ -24,8 +24,10 @@ def journal(spark: SparkSession, path: str) -> DataFrame:
 
     A torn last line is passed over; a damaged line before it raises when the result is read.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    # inside a split, lines come in order; splits of a file go by where they begin, not by the order in which they are read
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
     fields = "struct<item_id:string,status:string,seq:bigint,_damaged:string>"
+    lines = lines.withColumn("line", F.struct("block", "place"))
     parsed = lines.where("trim(value) <> ''").withColumn("r", F.from_json("value", fields, {"columnNameOfCorruptRecord": "_damaged"}))
     last = parsed.groupBy("file").agg(F.max("line").alias("last"))
     checked = parsed.join(F.broadcast(last), "file")  # one row a file
@@ -74,7 +76,7 @@ def html_blocks(pages: DataFrame) -> DataFrame:
     """(page_id, position, tag, text) of the paragraphs, headings and list items of old HTML, tags and entities resolved."""
     body = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
     blocks = pages.select("page_id", F.posexplode(F.regexp_extract_all(body, F.lit(r"(?is)<(?:p|h[1-6]|li|td)\b[^>]*>.*?(?=<(?:/?(?:p|h[1-6]|li|td|tr|table|div|body))\b|$)"), 0)).alias("position", "b"))
-    text = F.regexp_replace("b", r"(?s)<[^>]*>", "")
+    text = F.regexp_replace(F.regexp_replace("b", r"(?i)<br\s*/?>", "\n"), r"(?s)<[^>]*>", "")
     for entity, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"), ("&sect;", "§"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(ch))
     out = blocks.select("page_id", "position", F.lower(F.regexp_extract("b", r"^<(\w+)", 1)).alias("tag"), F.trim(F.regexp_replace(text, r"[\s ]+", " ")).alias("text"))

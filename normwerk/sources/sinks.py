@@ -25,9 +25,12 @@ def publish(tables: dict[str, DataFrame], path: str) -> str:
     out = fs.create(temporary, True)
     out.write(bytearray(version.encode()))
     out.close()
-    fs.delete(pointer, False)
-    if not fs.rename(temporary, pointer):
-        raise OSError(f"{path}/CURRENT could not be replaced")
+    # one rename that replaces the pointer, so that there is an index at any time
+    gateway = spark.sparkContext._gateway
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(temporary, pointer, how)
     return version
 
 
@@ -53,7 +56,7 @@ def write_csv(nodes: DataFrame, path: str, by: str) -> None:
 
 
 def load_statements(nodes: DataFrame, by: str, key: str, columns: list[str], batch: int = 5000) -> list[str]:
-    """Statements that load the CSV files of each label into a graph database; one a label, of which there are few."""
-    labels = [r[0] for r in nodes.select(by).where(f"{by} is not null").distinct().orderBy(by).limit(1000).collect()]
+    """Statements that load the CSV files of each label into a graph database; one a label, read from the cluster part by part."""
+    labels = sorted(r[0] for r in nodes.select(by).where(F.col(by).isNotNull()).distinct().toLocalIterator())
     fields = ", ".join(f"{c}: row.{c}" for c in columns)
     return [f"LOAD CSV WITH HEADERS FROM 'file:///{by}={x}.csv' AS row CALL {{ WITH row MERGE (n:{x} {{{key}: row.{key}}}) SET n += {{{fields}}} }} IN TRANSACTIONS OF {batch} ROWS;" for x in labels]

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from normwerk.functions import deepjson
 from normwerk.operators import hierarchy as H
 from normwerk.operators import nested, references
 
@@ -203,4 +204,28 @@ def test_no_bound_on_levels_and_encodings(spark):
     rows = [(1, '{"structural_units": [' + deep + "]}"), (2, '{"chunks": ' + often + "}"), (3, '{"document_id": "d", "chunks": ' + json.dumps("[" * 500_000 + "]" * 500_000) + "}")]
     got = nested.flatten(spark.createDataFrame(rows, "payload_id bigint, payload string")).collect()
     assert {(r.record_id, r.parent_id) for r in got if r.payload_id == 1} == {(f"u{i}", f"u{i - 1}" if i else "") for i in range(levels)}
-    assert [r.record_id for r in got if r.payload_id == 2] == ["c"] and "invalid" in [r.record_kind for r in got if r.payload_id == 3]
+    assert [r.record_id for r in got if r.payload_id == 2] == ["c"] and not [r for r in got if r.payload_id == 3]
+
+
+def test_json_of_any_depth():
+    rng = random.Random(8)
+
+    def value(depth):
+        kind = rng.randrange(7 if depth else 4)
+        return [None, True, rng.choice([0, -1.5, 1e300, 12345678901234567890]), rng.choice(["", 'a"\\\n', "ü€😀"]), [value(depth - 1) for _ in range(rng.randrange(4))] if depth else 0, {str(i): value(depth - 1) for i in range(rng.randrange(4))} if depth else 0, []][kind]
+
+    for _ in range(300):
+        v = value(4)
+        assert deepjson._dumps(v) == json.dumps(v, ensure_ascii=False) and deepjson._loads(json.dumps(v)) == v
+    for bad in ("", "[1,]", '{"a" 1}', "[1", "1 2", '{"a":1,}', "[01]", '"a', "{1:2}", "tru", "[1}"):
+        with pytest.raises(ValueError):
+            deepjson._loads(bad)
+    deep = "[" * 200_000 + "1" + "]" * 200_000
+    assert deepjson.dumps(deepjson.loads(deep)) == deep
+
+
+def test_units_nested_deeper_than_json_recurses(spark):
+    n = 60_000
+    text = '{"documents": [{"document_id": "d", "structural_units": [' + "".join(f'{{"unit_id": "u{i}", "children": [' for i in range(n)) + "]}" * n + "]}]}"
+    got = nested.flatten(spark.createDataFrame([(1, text), (2, "[" * 300_000)], "payload_id bigint, payload string")).groupBy("payload_id", "record_kind").count().collect()
+    assert {(r.payload_id, r.record_kind): r["count"] for r in got} == {(1, "document"): 1, (1, "unit"): n, (2, "invalid"): 1}
