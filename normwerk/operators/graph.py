@@ -48,6 +48,17 @@ def hops(graph_edges: DataFrame, starts: DataFrame, k: int, direction: str = "ou
     return reached.where("distance > 0")
 
 
+def closure(graph_edges: DataFrame, starts: DataFrame) -> DataFrame:
+    """(start_id, node_id) of all that is reached along the edges, however far, the start itself only by a cycle; one join a level."""
+    step = graph_edges.select(F.col("start_node_id").alias("_a"), F.col("end_node_id").alias("_b")).where("_a is not null and _b is not null").distinct()
+    reached = front = materialize(starts.select("start_id", F.col("start_id").alias("_a")).distinct().join(step, "_a").select("start_id", F.col("_b").alias("node_id")).distinct(), "front")
+    while not front.isEmpty():
+        new = front.join(step, F.col("node_id") == F.col("_a")).select("start_id", F.col("_b").alias("node_id")).distinct()
+        front = materialize(new.join(reached, ["start_id", "node_id"], "left_anti"), "front")
+        reached = reached.unionByName(front)
+    return reached
+
+
 def conflicts(rows: DataFrame, key: str) -> DataFrame:
     """Keys whose rows differ: (key, n_rows, n_versions). Equal rows of a key are one version."""
     content = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in rows.columns if c != key])

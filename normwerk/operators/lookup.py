@@ -69,3 +69,28 @@ def latest(rows: DataFrame, key: list[str], stamp: str) -> DataFrame:
     rest = [c for c in rows.columns if c not in key]
     picked = rows.groupBy(*key).agg(F.max(F.struct(F.col(stamp).alias("_s"), *rest)).alias("_r"))
     return picked.select(*key, *[F.col(f"_r.{c}") for c in rest])
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """A place for each row of a short list."""
+    return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+
+
+def first_step(rows: DataFrame, step: str) -> DataFrame:
+    """The rows of the smallest step that has any."""
+    least = rows.agg(F.min(step).alias("_least"))
+    return rows.crossJoin(F.broadcast(least)).where(F.col(step) == F.col("_least")).drop(step, "_least")  # one row
+
+
+def upper_levels(rows: DataFrame, node: str, parent: str, most: int) -> DataFrame:
+    """The rows up to ``most`` levels below a root, with their ``depth``: one join a level, none to build whole trees.
+
+    A root has no parent among the rows.
+    """
+    ids = rows.select(F.col(node).alias(parent)).distinct()
+    level = rows.join(ids, parent, "left_anti").select(*rows.columns).withColumn("depth", F.lit(0))
+    out = level
+    for d in range(1, most + 1):
+        level = rows.join(level.select(F.col(node).alias(parent)), parent, "left_semi").withColumn("depth", F.lit(d))
+        out = out.unionByName(level)
+    return out

@@ -80,3 +80,8 @@ def in_scope(rows: DataFrame, marks: DataFrame, group: list[str], at: str, mark_
     by = Window.partitionBy(*group).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = a.unionByName(b, allowMissingColumns=True).withColumn("scope", F.last("_c", ignorenulls=True).over(by))
     return both.where("_side = 1").drop("_at", "_side", "_c")
+
+
+def without_blanks(fields: dict) -> dict:
+    """The fields that say something: no nulls, empty texts or empty lists."""
+    return {k: v for k, v in fields.items() if v is not None and v != "" and v != []}

@@ -191,8 +191,9 @@ def context_budget(spark, root):
 union all select u.unit_id, u.document_id, t.depth + 1 from u join t on t.unit_id = u.parent_unit_id and t.document_id = u.document_id where t.depth < 3) select document_id, unit_id, depth from t where depth <= 3""")
 def outline_depth(spark, root):
     u = units(spark, root)
-    rows = u.select(F.concat_ws("\0", "document_id").alias("record_table"), F.col("unit_id").alias("node_id"), F.col("parent_unit_id").alias("parent_id"), F.col("loaded_at").alias("stamp"), F.col("document_id").alias("place"))
-    return hierarchy.hierarchy(rows, paths=False).where("depth <= 3").select(F.col("record_table").alias("document_id"), F.col("node_id").alias("unit_id"), "depth")
+    inside = lambda c: F.concat_ws("\0", F.coalesce("document_id", F.lit("")), F.col(c))
+    rows = u.select("document_id", "unit_id", inside("unit_id").alias("node"), F.when(F.col("parent_unit_id").isNotNull(), inside("parent_unit_id")).alias("parent"))
+    return lookup.upper_levels(rows, "node", "parent", 3).select("document_id", "unit_id", "depth")
 
 
 @query(f"""with recursive {U}, {C}, own as (select unit_id, min(page_start) as a, max(page_end) as b from c where page_start <= page_end group by unit_id),

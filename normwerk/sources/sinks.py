@@ -14,12 +14,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def publish(tables: dict[str, DataFrame], path: str) -> str:
-    """Write all tables of an index to a new version and then point to it; a failure leaves the old version current."""
+def publish(tables: dict[str, DataFrame], path: str, folders: dict[str, list[str]] | None = None) -> str:
+    """Write all tables of an index to a new version and then point to it; a failure leaves the old version current.
+
+    ``folders``: the columns by which a table is laid out in folders.
+    """
     spark = next(iter(tables.values())).sparkSession
     version = uuid.uuid4().hex
     for name, df in tables.items():
-        df.write.parquet(f"{path}/versions/{version}/{name}")
+        by = (folders or {}).get(name, [])
+        laid = df.repartition(*by) if by else df  # one file a folder
+        laid.write.partitionBy(*by).parquet(f"{path}/versions/{version}/{name}")
     fs, pointer, jvm = _fs(spark, f"{path}/CURRENT")
     temporary = jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT.{version}")
     out = fs.create(temporary, True)
