@@ -13,12 +13,42 @@ def duplicates(rows: DataFrame, key: list[str]) -> DataFrame:
 def findings(rows: DataFrame, code: Column, example: Column, most: int = 3) -> DataFrame:
     """Occurrences of each code and its first ``most`` distinct examples in order; rows whose code is null are none.
 
-    Examples are ranked before they are gathered, so a code with any number of occurrences stays small.
+    Each task keeps only its first examples of a code before any are shuffled, so a code with any number of occurrences stays small.
     """
     marked = rows.select(code.alias("code"), example.cast("string").alias("example")).where("code is not null")
-    counts = marked.groupBy("code", "example").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = counts.withColumn("_r", F.row_number().over(Window.partitionBy("code").orderBy(F.col("example").asc_nulls_last())))
-    return ranked.groupBy("code").agg(F.sum("_n").alias("occurrences"), F.concat_ws(", ", F.array_sort(F.collect_list(F.when(F.col("_r") <= most, F.col("example"))))).alias("examples"))
+    return _counted(marked, most)
+
+
+def _counted(marked: DataFrame, most: int) -> DataFrame:
+    pairs = marked.groupBy("code", "example").agg(F.count(F.lit(1)).alias("_n"))
+    counts = pairs.groupBy("code").agg(F.sum("_n").alias("occurrences"))
+    first = pairs.select("code", "example", F.row_number().over(Window.partitionBy("code").orderBy(F.col("example").asc_nulls_last())).alias("_r")).where(F.col("_r") <= most)
+    shown = first.groupBy("code").agg(F.concat_ws(", ", F.array_sort(F.collect_list("example"))).alias("examples"))
+    return counts.join(shown, "code")
+
+
+def audit(rows: DataFrame, rules: dict[str, Column], example: Column, most: int = 3) -> DataFrame:
+    """All findings of one kind of record in one pass: (code, occurrences, examples). A row may break several rules; a rule
+    that is null for a row is not broken."""
+    broken = F.array_compact(F.array(*[F.when(rule, F.lit(code)) for code, rule in rules.items()]))
+    return _counted(rows.select(F.explode(broken).alias("code"), example.cast("string").alias("example")), most)
+
+
+def verdict(findings_: DataFrame, severities: dict[str, str], fail_on: str = "error") -> DataFrame:
+    """(n_findings, n_occurrences, failed) of all findings; ``fail_on`` is the least severity at which an audit fails."""
+    order = ("info", "warning", "error")
+    level = F.create_map(*[F.lit(v) for pair in severities.items() for v in pair])[F.col("code")]
+    grave = F.coalesce(level, F.lit("error")).isin(*order[order.index(fail_on) :])
+    return findings_.agg(F.count(F.lit(1)).alias("n_findings"), F.coalesce(F.sum("occurrences"), F.lit(0)).alias("n_occurrences"), F.coalesce(F.bool_or(grave), F.lit(False)).alias("failed"))
+
+
+def leaked_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts that show an internal id between two word boundaries. texts(item_id, text), ids(id), ids of letters, digits and underscores.
+
+    The texts' own words are joined with the ids, so that no text meets all ids.
+    """
+    words = texts.select("item_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9_]+"), 0))).alias("id")).where(F.col("id").contains("_") | F.col("id").rlike("[0-9]"))
+    return words.join(ids.select("id").where("id is not null").distinct(), "id").select("item_id", "id").distinct()
 
 
 def mention_inventory(mentions: DataFrame, group: Column, source: str, document: str, text: str, most: int = 3) -> DataFrame:
