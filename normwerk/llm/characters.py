@@ -24,6 +24,32 @@ TO_OTHER = {
     "Greek": {v: k for k, v in SAME_GLYPH.items() if "Ͱ" <= k <= "Ͽ"},
 }
 
+#: Further look-alikes of single Latin letters and digits, and of the hyphen, from a public list of confusable characters (see
+#: ``extend``), and those of them that are Latin letters themselves.
+EXTRA: dict[str, str] = {}
+_extra_latin: set[str] = set()
+_extra_pattern: re.Pattern | None = None
+_hyphen_pattern: re.Pattern | None = None
+# Signs of that list that are told apart from the plain ones.
+TOLD_APART = set("–—―‒§²₂×·…„“”‘’‚‹›«»")
+
+
+def extend(confusable: dict[str, str]) -> None:
+    """Take up a list of characters and the single plain one that each looks like; a list that was taken up changes nothing."""
+    global _extra_pattern, _hyphen_pattern
+    new = {c: p for c, p in confusable.items() if c not in LOOK_ALIKE and c not in TOLD_APART and not "Ͱ" <= c <= "ӿ"}
+    letters = {c: p for c, p in new.items() if c.isalpha() and p.isalnum() and unicodedata.normalize("NFKC", c) == c and unicodedata.normalize("NFD", c) == c}
+    dashes = "".join(sorted(c for c, p in new.items() if p == "-" and not c.isalnum() and c not in HYPHENS))
+    if letters != EXTRA:
+        EXTRA.clear()
+        EXTRA.update(letters)
+        _extra_latin.clear()
+        _extra_latin.update(c for c in letters if _block_script(c) == "Latin")
+        _extra_pattern = re.compile("[" + "".join(map(re.escape, letters)) + "]") if letters else None
+    # a dash is a hyphen between two parts of a word; between numbers it is a sign of its own
+    _hyphen_pattern = re.compile(f"(?<=[^\\W\\d_])[{re.escape(dashes)}](?=\\w)|(?<=\\w)[{re.escape(dashes)}](?=[^\\W\\d_])") if dashes else None
+
+
 # Characters outside of Unicode's format class that show nothing.
 ALSO_INVISIBLE = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
 # Hyphens that look like the plain one.
@@ -31,7 +57,11 @@ HYPHENS = "\u2010\u2011\ufe63\uff0d"
 
 
 def script_of(ch: str) -> str:
-    """Latin, Greek, Cyrillic, Other for letters; empty for what is no letter."""
+    """Latin, Greek, Cyrillic, Other for letters; empty for what is no letter. A Latin letter that looks like another is Other."""
+    return "Other" if ch in _extra_latin else _block_script(ch)
+
+
+def _block_script(ch: str) -> str:
     if not ch.isalpha():
         return ""
     if ch.isascii() or ch < "ɐ" or "Ḁ" <= ch <= "ỿ":
@@ -79,7 +109,7 @@ _LATIN_TEXT = re.compile("[\t\n\r -~\u00a1-\u00ac\u00ae-\u0131\u0134-\u013e\u014
 
 def is_plain(text: str) -> bool:
     """Quick and safe: true only if no character needs a second look."""
-    return _LATIN_TEXT.fullmatch(text) is not None
+    return _LATIN_TEXT.fullmatch(text) is not None and not (_extra_pattern is not None and _extra_pattern.search(text))
 
 
 def recompose(text: str) -> str:
@@ -87,6 +117,8 @@ def recompose(text: str) -> str:
     if is_plain(text):
         return text
     out = "".join(map(plain_form, text))
+    if _hyphen_pattern is not None:
+        out = _hyphen_pattern.sub("-", out)
     return unicodedata.normalize("NFC", out)
 
 
@@ -109,7 +141,7 @@ def scripts(token: str) -> set[str]:
 
 def to_latin(token: str) -> str | None:
     """The token with look-alikes of Latin letters substituted; None if a letter of another script is left."""
-    out = "".join(LOOK_ALIKE.get(ch, ch) for ch in token)
+    out = "".join(LOOK_ALIKE.get(ch) or EXTRA.get(ch, ch) for ch in token)
     return out if scripts(out) <= {"Latin"} else None
 
 
@@ -118,7 +150,7 @@ def to_script(token: str, script: str) -> str | None:
     if script == "Latin":
         return to_latin(token)
     table = TO_OTHER.get(script, {})
-    out = "".join(ch if script_of(ch) in ("", script) else table.get(LOOK_ALIKE.get(ch, ch), ch) for ch in token)
+    out = "".join(ch if script_of(ch) in ("", script) else table.get(LOOK_ALIKE.get(ch) or EXTRA.get(ch, ch), ch) for ch in token)
     return out if scripts(out) <= {script} else None
 
 

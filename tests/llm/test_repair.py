@@ -49,3 +49,20 @@ def test_scripts():
     assert ch.to_script("Наpeдба", "Cyrillic") == "Наредба"
     assert ch.recompose("a\x07b\tc") == "ab\tc" and ch.recompose("\u0133") == "ij" and ch.recompose("\u0080x") == "x"
     assert ch.plain_form("\u212a") == "K" and ch.plain_form("²") == "²" and ch.plain_form("…") == "…"
+
+
+def test_confusable_list(spark):
+    table = R.confusables(spark)
+    assert table["Ꮪ"] == "S" and table["ı"] == "i" and table["−"] == "-" and "§" not in table
+    texts = ["EU−weit", "Werte von 3−5", "Ꮪatzung", "Satzung", "Fıscher", "Fischer", "kapalı", "Wаld–Satz"]
+    df = spark.createDataFrame([("t", str(i), t) for i, t in enumerate(texts)], "record_table string, record_key string, text string")
+    got = {int(r.record_key): (r.repaired, r.odd_characters or r.look_alikes > 0) for r in R.repair(df).collect()}
+    assert [got[i] for i in range(8)] == [("EU-weit", True), ("Werte von 3−5", False), ("Satzung", True), ("Satzung", False), ("Fischer", True), ("Fischer", False), ("kapalı", False), ("Wаld–Satz", True)]
+
+
+def test_third_form_is_tried(spark):
+    # dominant Greek, text in Cyrillic, the known word Latin
+    texts = ["ΟΡΤ", "OPT", "Наредба за храните и водите ΟΡT"]
+    df = spark.createDataFrame([("t", str(i), t) for i, t in enumerate(texts)], "record_table string, record_key string, text string")
+    got = {r.record_key: r.repaired for r in R.repair(df).collect()}
+    assert got["2"].split()[-1] in ("ΟΡΤ", "OPT")
