@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import materialize
-from ..skew import salted_left_join
+from ..skew import SAMPLED, salted_left_join
 from . import characters as ch
 
 #: Most item fingerprints that are broadcast (24 bytes each); beyond, the fingerprints are joined by shuffle with salts.
@@ -99,38 +99,48 @@ def fingerprint(texts: DataFrame, id_column: str, k: int, window: int) -> DataFr
     return chosen.mapInArrow(_fingerprint(k, window), "id bigint, fingerprint bigint, position int")
 
 
+def gram_places(tokens: list[str], k: int) -> dict[tuple[str, ...], list[int]]:
+    """Where each run of k words stands."""
+    out: dict[tuple[str, ...], list[int]] = {}
+    for i in range(len(tokens) - k + 1):
+        out.setdefault(tuple(tokens[i : i + k]), []).append(i)
+    return out
+
+
 def extend(doc: list[str], item: list[str], hits: list[tuple[int, int]], k: int) -> tuple[int, int, int]:
     """(length, position in the document, position in the item) of the longest run of equal words around any hit."""
-    best, seen = (0, 0, 0), set()
+    best, reached = (0, 0, 0), {}
     for d, i in sorted(hits):
-        if any(d - i == diagonal and a <= d < b for diagonal, a, b in seen) or doc[d : d + k] != item[i : i + k]:
+        # hits of one diagonal come in order, so the end of the last run on it says whether this one is inside
+        if d < reached.get(d - i, -1) or doc[d : d + k] != item[i : i + k]:
             continue
         a, b = 0, k
         while d - a > 0 and i - a > 0 and doc[d - a - 1] == item[i - a - 1]:
             a += 1
         while d + b < len(doc) and i + b < len(item) and doc[d + b] == item[i + b]:
             b += 1
-        seen.add((d - i, d - a, d + b))
+        reached[d - i] = d + b
         best = max(best, (a + b, d - a, i - a))
     return best
 
 
 def _extend(k: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[str, list[str]] = ("", [])
-        items: dict[str, list[str]] = {}
+        items: dict[str, tuple[list[str], dict]] = {}
         for batch in batches:
             out = []
-            for doc_id, item_id, text, item_text, hits in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                if text != last[0]:
-                    last = (text, words(text))
-                if item_text not in items:
-                    if len(items) > 2000:
-                        items.clear()
-                    items[item_text] = words(item_text)
-                n, d, i = extend(last[1], items[item_text], [(h["doc_position"], h["item_position"]) for h in hits], k)
-                if n >= min_words:
-                    out.append((doc_id, item_id, n, d, i, n / len(items[item_text])))
+            for doc_id, text, found in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                doc = words(text)
+                for hit in found:
+                    if hit["text"] not in items:
+                        if len(items) > 2000:
+                            items.clear()
+                        tokens = words(hit["text"])
+                        items[hit["text"]] = (tokens, gram_places(tokens, k))
+                    item, places = items[hit["text"]]
+                    n, d, i = extend(doc, item, [(p, q) for p in hit["positions"] for q in places.get(tuple(doc[p : p + k]), ())], k)
+                    if n >= min_words:
+                        out.append((doc_id, hit["item_id"], n, d, i, n / len(item)))
             columns = list(zip(*out)) or [()] * 6
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], ["doc_id", "item_id", "n_words", "doc_position", "item_position", "item_share"])
@@ -149,18 +159,19 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = 10, k: int =
         raise ValueError("k must not exceed min_words")
     window = min_words - k + 1
     distinct_items = materialize(items.where("item_id is not null and text is not null").groupBy("item_id").agg(F.max("text").alias("text")), "items")
-    asked = materialize(fingerprint(distinct_items, "item_id", k, window), "item_prints").toDF("item_id", "fingerprint", "item_position")
-    corpus = fingerprint(documents, "doc_id", k, window).toDF("doc_id", "fingerprint", "doc_position")
+    asked = materialize(fingerprint(distinct_items, "item_id", k, window).select(F.col("id").alias("item_id"), "fingerprint").distinct(), "item_prints")
+    prints = lambda df: fingerprint(df, "doc_id", k, window).toDF("doc_id", "fingerprint", "doc_position")
+    corpus = prints(documents)
     if asked.count() <= MOST_BROADCAST:
         hits = corpus.join(F.broadcast(asked), "fingerprint")
     else:
-        hits = salted_left_join(corpus, asked, ["fingerprint"], [F.col("doc_id")], how="inner")
-    pairs = materialize(
-        hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.struct("doc_position", "item_position")).alias("hits")), "pairs"
-    )  # at most a document's fingerprints
+        hits = salted_left_join(corpus, asked, ["fingerprint"], [F.col("doc_id")], how="inner", counted=prints(documents.sample(SAMPLED, 7)).select("fingerprint"))
+    pairs = hits.groupBy("doc_id", "item_id").agg(F.collect_set("doc_position").alias("positions"))  # at most a document's fingerprints
+    items_of = F.collect_list(F.struct("item_id", "text", "positions"))  # at most a document's fingerprints, too
+    by_document = materialize(pairs.join(distinct_items, "item_id").groupBy("doc_id").agg(items_of.alias("found")), "pairs")
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
-    ids = pairs.select("doc_id").distinct()
+    ids = by_document.select("doc_id")
     few = F.broadcast(ids) if ids.count() <= MOST_IDS else ids
     found = docs.join(few, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
-    whole = pairs.join(found, "doc_id").join(distinct_items.withColumnRenamed("text", "item_text"), "item_id")
-    return whole.select("doc_id", "item_id", "text", "item_text", "hits").mapInArrow(_extend(k, min_words), "doc_id bigint, item_id bigint, n_words int, doc_position int, item_position int, item_share double")
+    whole = found.join(by_document, "doc_id")
+    return whole.select("doc_id", "text", "found").mapInArrow(_extend(k, min_words), "doc_id bigint, item_id bigint, n_words int, doc_position int, item_position int, item_share double")
