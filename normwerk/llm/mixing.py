@@ -28,13 +28,14 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def _counter(path: str):
+def _counter(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import base64
 
         import tiktoken
+        from pyspark import SparkFiles
 
-        with open(path, "rb") as f:
+        with open(SparkFiles.get(name), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
@@ -46,9 +47,13 @@ def _counter(path: str):
 
 
 def count_tokens(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """documents(doc_id, source, text) -> (doc_id, source, tokens): whole texts, 0 for null or empty ones."""
+    """documents(doc_id, source, text) -> (doc_id, source, tokens): whole texts, 0 for null or empty ones.
+
+    The vocabulary at ``path`` of the driver is sent to all executors.
+    """
+    documents.sparkSession.sparkContext.addFile(path)
     chosen = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(_counter(path), "doc_id bigint, source string, tokens bigint")
+    return chosen.mapInArrow(_counter(path.rsplit("/", 1)[-1]), "doc_id bigint, source string, tokens bigint")
 
 
 def source_key(source: Column) -> Column:
@@ -64,6 +69,22 @@ def tilt(shares: dict[str, float], rising: set[str], slope: float) -> dict[str,
     return {k: [(0.0, 1 - s), (1.0, 1 + s)] for k in shares for s in [slope if k in rising else -slope * up / down if down else 0.0]}
 
 
+def relative(schedules: dict[str, list[tuple[float, float]]], sources: set[str]) -> dict[str, list[tuple[float, float]]]:
+    """Given weights over time as multiples of a source's mean weight; a source without a schedule keeps its weight.
+
+    A schedule is a list of (time, weight) from time 0 to time 1, in order, linear in between, with weights above 0.
+    """
+    out = {s: [(0.0, 1.0), (1.0, 1.0)] for s in sources}
+    for s, knots in schedules.items():
+        times = [t for t, _ in knots]
+        if len(knots) < 2 or times[0] != 0 or times[-1] != 1 or any(b <= a for a, b in zip(times, times[1:])) or any(w <= 0 for _, w in knots):
+            raise ValueError(f"the schedule of {s} must go from time 0 to 1 with weights above 0")
+        mean = sum((b - a) * (v + w) / 2 for (a, v), (b, w) in zip(knots, knots[1:]))
+        if s in out:
+            out[s] = [(float(t), w / mean) for t, w in knots]
+    return out
+
+
 @dataclass
 class Mixture:
     """positions(position, doc_id, source, pass, tokens), unsorted; chosen(doc_id, source, tokens, copies); shares(...)."""
@@ -85,7 +106,7 @@ def _invert(demand: Column, knots: Column) -> Column:
     return F.least(F.lit(1.0), a["t"] + F.when(left > 0, F.least(width, root)).otherwise(F.lit(0.0)))
 
 
-def mix(counted: DataFrame, targets: DataFrame, total_tokens: float | None = None, slope: float = 0.5, seed: int = 7) -> Mixture:
+def mix(counted: DataFrame, targets: DataFrame, total_tokens: float | None = None, slope: float = 0.5, seed: int = 7, schedules: dict[str, list[tuple[float, float]]] | None = None) -> Mixture:
     """counted(doc_id, source, tokens), targets(source, target_share, max_repeats) -> the mixture.
 
     The total is the largest one that every source can serve with its documents used at most max_repeats times, or
@@ -93,7 +114,9 @@ def mix(counted: DataFrame, targets: DataFrame, total_tokens: float | None = Non
     source come first, and the last pass ends where the demand does. Sources without any tokens or not among the targets
     give nothing, and the shares of the others are scaled up; the report has them with what they reach. A share of null or
     not above 0 asks for nothing; null max_repeats counts as 1. Documents with a null id or source or without tokens are
-    never chosen; a repeated doc_id is one document. The sources that may be repeated rise over the training by ``slope``.
+    never chosen; a repeated doc_id is one document. Each source follows its schedule of
+    ``schedules`` (see ``relative``): its share of the whole is its target, its weight at a time goes with the schedule. Without
+    any, the sources that may be repeated rise over the training by ``slope``.
     """
     goals = targets.select(source_key(F.col("source")).alias("source"), F.col("target_share").cast("double").alias("share"), F.coalesce("max_repeats", F.lit(1)).cast("int").alias("max_repeats"))
     goals = goals.where("source is not null and share > 0 and max_repeats > 0").groupBy("source").agg(F.sum("share").alias("share"), F.max("max_repeats").alias("max_repeats"))
@@ -109,14 +132,14 @@ def mix(counted: DataFrame, targets: DataFrame, total_tokens: float | None = Non
     shares = {s: goal[s][0] / whole for s in supply}
     most = min((supply[s] * goal[s][1] / shares[s] for s in supply), default=0.0)
     total = min(most, total_tokens) if total_tokens is not None else most
-    schedules = tilt(shares, {s for s in supply if goal[s][1] > 1}, slope)
+    followed = tilt(shares, {s for s in supply if goal[s][1] > 1}, slope) if schedules is None else relative(schedules, set(supply))
 
     rows = []
     for s in supply:
         knots, c = [], 0.0
-        for n, (t, w) in enumerate(schedules[s]):
+        for n, (t, w) in enumerate(followed[s]):
             if n:
-                t0, w0 = schedules[s][n - 1]
+                t0, w0 = followed[s][n - 1]
                 c += (t - t0) * (w + w0) / 2
             knots.append((t, w, c))
         rows.append((s, shares[s] * total, supply[s], goal[s][1], knots))

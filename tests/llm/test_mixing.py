@@ -67,3 +67,15 @@ def test_inverse(spark):
         t = r.t
         integral = 0.5 * t + 1.25 * t * t if t <= 0.4 else 0.4 + (t - 0.4) * (1.5 + 1.5 - (t - 0.4) / 0.6) / 2
         assert abs(integral - r.c) < 1e-9
+
+
+def test_given_schedules(spark):
+    rows = [(i, "a" if i % 2 else "b", 10) for i in range(4000)]
+    counted = spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    made = M.mix(counted, targets, schedules={"a": [(0, 1.0), (0.5, 3.0), (1, 1.0)], "b": [(0, 3.0), (0.5, 1.0), (1, 3.0)]})
+    got = [(r.position, r.source) for r in M.in_order(made.positions).collect()]
+    share = lambda low, high: sum(s == "a" for p, s in got if low <= p < high) / max(1, sum(low <= p < high for p, s in got))
+    assert len(got) == 4000 and abs(share(0, 0.05) - 0.27) < 0.06 and abs(share(0.45, 0.55) - 0.73) < 0.06 and abs(share(0.95, 1.01) - 0.27) < 0.06
+    with pytest.raises(ValueError):
+        M.relative({"a": [(0, 1.0), (0.5, 1.0)]}, {"a"})
