@@ -178,11 +178,13 @@ def nearest(vectors: DataFrame, k: int = 5, dimensions: int = 64, min_similarity
     if is_query is not None:
         chosen = chosen.withColumn("_q", F.coalesce(is_query, F.lit(False)))
     chosen = materialize(chosen, "vectors")
-    counts = chosen.groupBy("profile").agg(F.count(F.lit(1)).alias("n")).select(
-        "profile", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.least(F.lit(LEAST_BLOCKS), F.ceil(F.col("n") / 64))).cast("int").alias("blocks")
-    )
+    n_asked = F.count(F.lit(1)) if is_query is None else F.count_if(F.col("_q"))
+    counts = chosen.groupBy("profile").agg(F.count(F.lit(1)).alias("n"), n_asked.alias("q")).select(
+        "profile", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.least(F.lit(LEAST_BLOCKS), F.ceil(F.col("n") / 64))).cast("int").alias("blocks"),
+        F.greatest(F.lit(1), F.ceil(F.col("q") / BLOCK_ROWS)).cast("int").alias("asked_blocks"),
+    )
     counts = materialize(counts, "blocks")
-    n_profiles, n_tiles = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("blocks") * (F.col("blocks") + 1)), F.lit(0))).first()
+    n_profiles, n_tiles = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("blocks") * (F.col("blocks") + 1 if is_query is None else F.col("asked_blocks"))), F.lit(0))).first()
     if n_profiles <= 100_000:
         counts = F.broadcast(counts)
     placed = chosen.join(counts, "profile").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
@@ -192,8 +194,11 @@ def nearest(vectors: DataFrame, k: int = 5, dimensions: int = 64, min_similarity
         tiles = F.transform(every, lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j"), F.when(o >= F.col("block"), 0).otherwise(1).alias("side")))
         spread = placed.withColumn("t", F.explode(tiles))
     else:
-        asked = placed.where("_q").withColumn("t", F.explode(F.transform(every, lambda o: F.struct(F.col("block").alias("i"), o.alias("j"), F.lit(0).alias("side")))))
-        among = placed.withColumn("t", F.explode(F.transform(every, lambda o: F.struct(o.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")))))
+        # the vectors that ask are in blocks of their own, one if they are few, and all others are copied only to those
+        own = F.pmod(F.xxhash64("vec_id"), F.col("asked_blocks")).cast("int")
+        asked = placed.where("_q").withColumn("t", F.explode(F.transform(every, lambda o: F.struct(own.alias("i"), o.alias("j"), F.lit(0).alias("side")))))
+        asking = F.sequence(F.lit(0), F.col("asked_blocks") - 1)
+        among = placed.withColumn("t", F.explode(F.transform(asking, lambda o: F.struct(o.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")))))
         spread = asked.unionByName(among)
     n_parts = int(min(20_000, max(1, n_tiles)))
     tiled = spread.select("profile", "t.i", "t.j", "t.side", "vec_id", "vector").repartition(n_parts, "profile", "i", "j").sortWithinPartitions("profile", "i", "j", "side")
