@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
-from ..operators import lookup, segments
+from ..operators import crossrefs, lookup, segments
 from ..session import table
 from .reference import _KEY, C, R, U, chunks, references, units
 
@@ -320,12 +320,47 @@ def run_diagnosis(spark, root):
     return r.select("user_id", "n", policy.alias("policy"), F.array_join(warnings, ",").alias("warnings"))
 
 
-@query("""with f as (select item_id, unnest(list_filter([case when case_id is null or trim(case_id) = '' then 'case_id_missing' end, case when text is null or trim(text) = '' then 'text_missing' end, case when lang not in ('de', 'en', 'fr') or lang is null then 'language_unknown' end, case when count(*) over (partition by case_id) > 1 then 'case_id_repeated' end, case when length(text) < 300 then 'text_short' end], lambda x: x is not null)) as code from eval_cases)
+@query("""with f as (select item_id, unnest(list_filter([case when case_id is null or trim(case_id) = '' then 'case_id_missing' end, case when text is null or trim(text) = '' then 'text_missing' end, case when lang not in ('de', 'en', 'fr') or lang is null then 'language_unknown' end, case when count(*) over (partition by case_id) > 1 then 'case_id_repeated' end, case when length(text) < 300 then 'text_short' end, case when length(text) > 450 then 'text_long' end], lambda x: x is not null)) as code from eval_cases)
 select code, count(*) as occurrences, min(item_id) as first_item from f group by code""")
 def case_file_findings(spark, root):
     """What is wrong with a file of evaluation cases."""
     e = table(spark, root, "eval_cases")
     blank = lambda c: F.col(c).isNull() | (F.trim(c) == "")
     e = e.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy("case_id")))
-    codes = F.array_compact(F.array(F.when(blank("case_id"), "case_id_missing"), F.when(blank("text"), "text_missing"), F.when(F.col("lang").isNull() | ~F.col("lang").isin("de", "en", "fr"), "language_unknown"), F.when(F.col("_same") > 1, "case_id_repeated"), F.when(F.char_length("text") < 300, "text_short")))
+    codes = F.array_compact(F.array(F.when(blank("case_id"), "case_id_missing"), F.when(blank("text"), "text_missing"), F.when(F.col("lang").isNull() | ~F.col("lang").isin("de", "en", "fr"), "language_unknown"), F.when(F.col("_same") > 1, "case_id_repeated"), F.when(F.char_length("text") < 300, "text_short"), F.when(F.char_length("text") > 450, "text_long")))
     return e.select("item_id", F.explode(codes).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("occurrences"), F.min("item_id").alias("first_item"))
+
+
+# ---- references ----
+
+
+def _targets(spark, root):
+    c = chunks(spark, root).where("unit_id is not null").groupBy("unit_id").agg(F.min("chunk_id").alias("chunk_id"))
+    u = units(spark, root).where("global_key is not null").join(c, "unit_id", "left")
+    return u.groupBy(F.col("global_key").alias("key")).agg(F.min("chunk_id").alias("chunk_id"), F.min("unit_id").alias("unit_id"), F.min("document_id").alias("document_id"), F.min("document_key").alias("document_key"))
+
+
+@query(f"""with {R}, {U}, {C}, f as (select unit_id, min(chunk_id) as chunk_id from c where unit_id is not null group by 1), t as (select global_key as key, min(f.chunk_id) as tc, min(u.unit_id) as tu, min(u.document_id) as td, min(u.document_key) as dk from u left join f using (unit_id) where global_key is not null group by 1),
+k as (select dk, min(td) as kd from t group by 1), x as (select r.source_chunk_id as sc, r.source_unit_id as su, r.source_document_id as sd, r.target_document_key as tk, lower(trim(r.requested_target_global_key)) as q, t.*, k.kd from r left join t on t.key = lower(trim(r.target_global_key)) left join k on k.dk = r.target_document_key)
+select distinct * from (select 'chunk' as level, sc as start_node_id, coalesce(tc, 'target:' || q) as end_node_id, case when tc is not null then 'chunk' else 'placeholder' end as end_kind from x union all select 'unit', su, coalesce(tu, 'target:' || q), case when tu is not null then 'unit' else 'placeholder' end from x
+union all select 'document', sd, coalesce(td, kd, 'target:' || tk), case when coalesce(td, kd) is not null then 'document' else 'placeholder' end from x) where start_node_id is not null and end_node_id is not null and start_node_id <> end_node_id""")
+def reference_edges(spark, root):
+    """Edges of chunks, units and documents of all references, placeholders where a target is not there."""
+    r = references(spark, root)
+    clean = lambda c: F.lower(F.trim(c))
+    refs = r.select(F.col("reference_id").alias("source_id"), "target_document_key", clean("requested_target_global_key").alias("requested_key"), clean("target_global_key").alias("resolved_key"))
+    # the source of an edge is the reference's chunk, so references of one chunk give one edge
+    sources = r.select(F.col("reference_id").alias("source_id"), "source_chunk_id", F.col("source_unit_id").alias("unit_id"), F.col("source_document_id").alias("document_id"))
+    every = crossrefs.edges(refs, sources, _targets(spark, root))
+    chunk = sources.select(F.col("source_id").alias("start_node_id"), "source_chunk_id")
+    of_chunks = every.where("level = 'chunk'").join(chunk, "start_node_id").select("level", F.col("source_chunk_id").alias("start_node_id"), "end_node_id", "end_kind").where("start_node_id is not null and start_node_id <> end_node_id").distinct()
+    return every.where("level <> 'chunk'").unionByName(of_chunks)
+
+
+@query()
+def cited_targets(spark, root):
+    """What every citation of every chunk means: a parser's work and joins, tested on inline rows."""
+    u = units(spark, root).where("global_key is not null").select("unit_id", F.col("global_key").alias("unit_key"), "document_key")
+    texts = chunks(spark, root, "text").where("text is not null").join(u, "unit_id").select(F.col("chunk_id").alias("source_id"), "document_key", "unit_key", F.lit(None).cast("string").alias("context_key"), "text")
+    laws = table(spark, root, "core_laws").select(F.col("law_key").alias("document_key"), "title", "short_title", "abbreviation")
+    return crossrefs.references(texts, crossrefs.alias_index(laws, ["title", "short_title", "abbreviation"]), u.select(F.col("unit_key").alias("key")))
