@@ -111,13 +111,8 @@ with recursive latest as (
 )
 """
 
-SQL = {
-    "p3_found": _ORPHANS + "select distinct record_table, record_key from orphans",
-    "p3_orphans": _ORPHANS + "select distinct record_table, record_key, ref_key, reason, claimed from orphans",
-    "p3_by_month": _ORPHANS + "select record_table, strftime(ref_ts, '%Y-%m') as month, reason, count(distinct record_key) as n_records from orphans group by 1, 2, 3",
-    "p4_descendants": _TREES
-    + "select record_table, path[i] as ancestor_id, node_id as descendant_id, depth + 1 - i as distance from (select *, unnest(range(1, depth + 1))::int as i from tree where depth > 0)",
-    "p4_found": _TREES.rstrip()
+_STRAY = (
+    _TREES.rstrip()
     + """, stray as (
   select l.* from latest l left join tree t on t.record_table = l.record_table and t.node_id = l.node_id where t.node_id is null
 ), walk as (
@@ -125,6 +120,24 @@ SQL = {
   union all
   select w.record_table, w.start, s.parent_id, list_append(w.seen, s.parent_id), list_contains(w.seen, s.parent_id)
   from walk w join stray s on s.record_table = w.record_table and s.node_id = w.here where not w.closed
+), closed as (select *, list_slice(seen, list_position(seen, here), len(seen)) as ring from walk where closed)
+"""
+)
+
+SQL = {
+    "p3_found": _ORPHANS + "select distinct record_table, record_key from orphans",
+    "p3_orphans": _ORPHANS + "select distinct record_table, record_key, ref_key, reason, claimed from orphans",
+    "p3_by_month": _ORPHANS + "select record_table, strftime(ref_ts, '%Y-%m') as month, reason, count(distinct record_key) as n_records from orphans group by 1, 2, 3",
+    "p4_descendants": _TREES
+    + "select record_table, path[i] as ancestor_id, node_id as descendant_id, depth + 1 - i as distance from (select *, unnest(range(1, depth + 1))::int as i from tree where depth > 0)",
+    "p4_found": _STRAY + "select record_table, start as node_id, list_min(ring) as cycle_id from closed",
+    "p4_hierarchy": _STRAY.rstrip()
+    + """, anc as (select record_table, start, unnest(list_distinct(seen)) as up from closed), below as (
+  select record_table, up as node_id, count(*) filter (where up <> start) as n from anc group by 1, 2
+  union all select record_table, node_id, count(*) from (select record_table, unnest(path[1:depth]) as node_id from tree where depth > 0) group by 1, 2
 )
-select record_table, start as node_id, list_min(list_slice(seen, list_position(seen, here), len(seen))) as cycle_id from walk where closed""",
+select t.record_table, t.node_id, t.parent_id, t.root_id, t.depth, array_to_string(t.path, '/') as path, coalesce(b.n, 0) as n_descendants, null::varchar as cycle_id, false as on_cycle
+from tree t left join below b on b.record_table = t.record_table and b.node_id = t.node_id
+union all
+select c.record_table, c.start, c.seen[1], null, null, '', coalesce(b.n, 0), list_min(c.ring), list_contains(c.ring, c.start) from closed c left join below b on b.record_table = c.record_table and b.node_id = c.start""",
 }

@@ -91,7 +91,9 @@ def term_idf(spark, root):
     return fulltext.idf(table(spark, root, "documents", heavy=True), "text")
 
 
-@query()
+@query("""with a as (select doc_id, text, lower(text) as l from documents where text is not null and text <> ''), b as (select *, greatest(1, coalesce(list_min(list_filter([instr(l, 'erlaubnis'), instr(l, 'permit')], lambda x: x > 0)), 1) - 66) as b from a),
+c as (select *, substr(text, b, 200) as raw, b > 1 as cf, b + 200 <= length(text) as cb from b), d as (select *, case when cf and instr(raw, ' ') between 1 and 80 then '… ' || substr(raw, instr(raw, ' ') + 1, 200) when cf then '… ' || raw else raw end as f from c)
+select doc_id, case when length(text) <= 200 then text when cb then regexp_replace(f, '\\s\\S{0,79}$', '') || ' …' else f end as snippet from d""")
 def snippets(spark, root):
     return table(spark, root, "documents", heavy=True).where("text is not null and text <> ''").select("doc_id", N.snippet(F.col("text"), ["erlaubnis", "permit"]).alias("snippet"))
 

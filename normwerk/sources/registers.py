@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import sqlite3
+import tempfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import packages
+
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """(manifest, output_path, status) of every entry; the list is called ``entries`` or ``results``. Unreadable manifests have none."""
@@ -81,3 +90,82 @@ def html_blocks(pages: DataFrame) -> DataFrame:
         text = F.replace(text, F.lit(entity), F.lit(ch))
     out = blocks.select("page_id", "position", F.lower(F.regexp_extract("b", r"^<(\w+)", 1)).alias("tag"), F.trim(F.regexp_replace(text, r"[\s ]+", " ")).alias("text"))
     return out.where("text <> ''")
+
+
+def _sqlite(query: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with tempfile.NamedTemporaryFile(suffix=".sqlite") as f:  # read here and now, by this task alone
+                    f.write(data)
+                    f.flush()
+                    with sqlite3.connect(f"file:{f.name}?mode=ro", uri=True) as db:
+                        db.row_factory = sqlite3.Row
+                        cursor = db.execute(query)
+                        while rows := cursor.fetchmany(10_000):
+                            texts = [json.dumps({k: r[k] for k in r.keys() if not isinstance(r[k], bytes)}, ensure_ascii=False) for r in rows]
+                            yield pa.RecordBatch.from_arrays([pa.array([path] * len(texts)), pa.array(texts)], ["path", "row"])
+
+    return run
+
+
+def sqlite_rows(spark: SparkSession, path: str, query: str, schema: str) -> DataFrame:
+    """The rows of a query on every SQLite file below a path, with the file's path."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInArrow(_sqlite(query), "path string, row string").select("path", F.from_json("row", schema).alias("r")).select("path", "r.*")
+
+
+def rules(spark: SparkSession, path: str) -> DataFrame:
+    """(rule, pattern) of the anomaly rules of all JSON files below a path, in the order of the files' names and of their lists."""
+    entry = "struct<anomaly_patterns:array<struct<type:string,pattern:string>>>"
+    raw = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_name").alias("file"), F.from_json("value", entry).alias("r"))
+    each = raw.select("file", F.posexplode("r.anomaly_patterns").alias("place", "x")).where("x.pattern is not null")
+    return each.orderBy("file", "place").select(F.col("x.type").alias("rule"), F.col("x.pattern").alias("pattern"))
+
+
+def catalogue_aliases(spark: SparkSession, path: str) -> DataFrame:
+    """(alias, id) of a JSON catalogue: a list of documents with an id and a list of aliases."""
+    raw = spark.read.option("wholetext", "true").text(path).select(F.from_json("value", "struct<documents:array<struct<id:string,title:string,aliases:array<string>>>>").alias("c"))
+    docs = raw.select(F.explode("c.documents").alias("d"))
+    return docs.select(F.col("d.id").alias("id"), F.explode(F.array_union(F.coalesce("d.aliases", F.array().cast("array<string>")), F.array("d.title"))).alias("alias")).where("trim(alias) <> ''").select("alias", "id").distinct()
+
+
+def _collection(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out, taken = [], set()
+        for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            try:
+                files = packages.members(data)
+            except packages.Refused:
+                continue
+            for name in sorted((n for n in files if n.lower().endswith(".pdf")), key=lambda n: (n.casefold(), n)):
+                stem = name.rsplit("/", 1)[-1][:-4].lower()
+                plain = "".join(c if c.isalnum() else "_" for c in stem).strip("_") or "document"
+                if (path, plain) in taken:
+                    plain += "_" + hashlib.sha1(name.encode()).hexdigest()[:8]
+                taken.add((path, plain))
+                out.append((path, plain, name, hashlib.sha256(files[name]).hexdigest(), len(files[name])))
+        types = [*[pa.string()] * 4, pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 5, types)], ["path", "id", "member", "sha256", "size"])
+
+
+def collection(spark: SparkSession, path: str) -> DataFrame:
+    """(path, id, member, sha256, size) of the PDF files of every ZIP below a path, in the order of their names; an id that is
+    taken gets a suffix. A refused archive has none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInArrow(_collection, "path string, id string, member string, sha256 string, size bigint")
+
+
+def run_logs(spark: SparkSession, path: str, newest: int, schema: str, conversation: str | None = None) -> DataFrame:
+    """The newest run files, as many as asked for, by the time of their last change; of one conversation, if one is named."""
+    files = spark.read.option("wholetext", "true").text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("changed"))
+    runs = files.select("path", "changed", F.from_json("value", schema).alias("r")).where("r is not null").select("path", "changed", "r.*")
+    if conversation is not None:
+        runs = runs.where(F.col("conversation_id") == conversation)
+    return runs.orderBy(F.col("changed").desc(), "path").limit(newest)
+
+
+def artefacts(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
+    """Runs and scores by a path pattern; ``profile`` is the folder that a file lies in."""
+    raw = spark.read.schema(schema).option("multiLine", "true").json(pattern).withColumn("path", F.col("_metadata.file_path"))
+    return raw.withColumn("profile", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))

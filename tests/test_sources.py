@@ -146,8 +146,8 @@ def test_sinks(spark, tmp_path):
     new = spark.createDataFrame([("a", "L", 9, ["z"])], df.schema)
     assert {(r.id, r.n) for r in sinks.upsert(df, new, ["id"]).collect()} == {("a", 9), ("b", 2)}
     assert {(r.id, r.n) for r in sinks.first_wins(df.unionByName(new), ["id"], ["n"]).collect()} == {("a", 1), ("b", 2)}
-    assert len(sinks.load_statements(df, "label", "id", ["n"])) == 2
-    assert len(sinks.load_statements(spark.range(1300).selectExpr("concat('L', id) as label", "id"), "label", "id", ["id"])) == 1300
+    assert len(sinks.load_statements(df, "label", "id", ["n"])) == 4
+    assert len(sinks.load_statements(spark.range(1300).selectExpr("concat('L', id) as label", "id"), "label", "id", ["id"])) == 2600
 
 
 def test_fold_batch_and_stream(spark, tmp_path):
