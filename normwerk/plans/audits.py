@@ -173,14 +173,9 @@ def changed_target_sets(spark, root):
     return both.select("document_id", change.alias("change")).where("change is not null")
 
 
-@query("select doc_id, substr(sha256(doc_id::varchar), 1, 16) as blind_key from documents order by sha256(doc_id::varchar) limit 50")
-def blind_order(spark, root):
-    return blind_order_all(spark, root).limit(50)
-
-
 @query("select doc_id, substr(sha256(doc_id::varchar), 1, 16) as blind_key from documents order by sha256(doc_id::varchar)")
-def blind_order_all(spark, root):
-    """The place of every document, not of the first ones only."""
+def blind_order(spark, root):
+    """The place of every document in an order that tells nothing."""
     h = F.sha2(F.col("doc_id").cast("string"), 256)
     return table(spark, root, "documents").select("doc_id", h.alias("h")).orderBy("h").select("doc_id", F.substring("h", 1, 16).alias("blind_key"))
 
@@ -204,8 +199,9 @@ def corpus_totals(spark, root):
 
 @query()
 def unit_page_alignment(spark, root):
-    """Titles of units aligned with their document's pages in order; a path search, tested on inline rows."""
-    u = units(spark, root).where("title is not null and trim(title) <> ''").select("document_id", F.col("unit_id").alias("item_id"), F.struct("sequence", "unit_id").alias("place"), F.col("title").alias("text"))
+    """Units, known by the beginning of their first text, aligned with their document's pages in order; tested on inline rows."""
+    first = chunks(spark, root, "text").where("text is not null and unit_id is not null").groupBy("unit_id").agg(F.min(F.struct("sequence", "chunk_id", "text"))["text"].alias("body"))
+    u = units(spark, root).join(first, "unit_id").select("document_id", F.col("unit_id").alias("item_id"), F.struct("sequence", "unit_id").alias("place"), F.col("body").alias("text"), "label", "title")
     c = chunks(spark, root, "text").where("text is not null and document_id is not null and page_start is not null")
     pages = c.groupBy("document_id", F.col("page_start").alias("page")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sequence", "chunk_id", "text"))), lambda x: x["text"]), "\n").alias("text"))
     return align.align(u, pages)

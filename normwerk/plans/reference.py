@@ -267,23 +267,17 @@ def one_hop_references(spark, root):
     return r.groupBy("document_id", "from_unit", "k").agg(F.count(F.lit(1)).alias("m")).join(u, "k").groupBy("document_id", "from_unit", "to_unit", "unit_type").agg(F.sum("m").alias("n"))
 
 
-@query(f"""with recursive {U}, {R}, e as (select distinct s.document_key as a, r.target_document_key as b from r join (select distinct document_id, document_key from u) s on s.document_id = r.source_document_id where r.target_document_key is not null),
-h as (select law_key as start_id, law_key as node_id, 0 as d from core_laws where jurisdiction = 'EU' and law_key < 'celex_32024' union select h.start_id, e.b, h.d + 1 from h join e on e.a = h.node_id where h.d < 2)
-select start_id, node_id, min(d) as distance from h group by 1, 2 having min(d) > 0""")
-def k_hop_documents(spark, root):
-    starts = table(spark, root, "core_laws").where("jurisdiction = 'EU' and law_key < 'celex_32024'").select(F.col("law_key").alias("start_id")).distinct()
-    return graph.hops(_document_edges(spark, root), starts, 2)
-
-
 def _document_edges(spark, root):
     keys = units(spark, root).select(F.col("document_id").alias("source_document_id"), "document_key").distinct()
     pairs = table(spark, root, "refers_to_edges").where("target_document_key is not null").select("source_document_id", F.col("target_document_key").alias("end_node_id")).distinct()
     return pairs.join(keys, "source_document_id").select(F.col("document_key").alias("start_node_id"), "end_node_id").distinct()
 
 
-@query()
-def k_hop_all_documents(spark, root):
-    """The hops of every law, hot ones too; no SQL, as a recursive one would be too slow, but tested against brute force."""
+@query(f"""with {U}, {R}, e as (select distinct s.document_key as a, r.target_document_key as b from r join (select distinct document_id, document_key from u) s on s.document_id = r.source_document_id where r.target_document_key is not null and s.document_key is not null),
+h as (select distinct l.law_key as s, e.b as n from core_laws l join e on e.a = l.law_key), i as (select s, n, 1 as d from h union all select distinct h.s, e.b, 2 from h join e on e.a = h.n)
+select s as start_id, n as node_id, min(d) as distance from i where s <> n group by 1, 2""")
+def k_hop_documents(spark, root):
+    """What every law reaches in two hops, hot laws too."""
     starts = table(spark, root, "core_laws").where("law_key is not null").select(F.col("law_key").alias("start_id")).distinct()
     return graph.hops(_document_edges(spark, root), starts, 2)
 

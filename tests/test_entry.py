@@ -64,7 +64,7 @@ def test_hops_of_every_law(spark):
             front = {b for a in front for b in after.get(a, ())} - seen
             seen |= front
             want |= {(start, b, d) for b in front}
-    got = [(r.start_id, r.node_id, r.distance) for r in reference.k_hop_all_documents(spark, ROOT).collect()]
+    got = [(r.start_id, r.node_id, r.distance) for r in reference.k_hop_documents(spark, ROOT).collect()]
     assert set(got) == want and len(got) == len(want)
     assert len({a for a, _, _ in want}) > len({r.start_id for r in reference.k_hop_documents(spark, ROOT).collect()})
 
@@ -74,4 +74,4 @@ def test_blind_order_places_every_document(spark):
 
     docs = [r.doc_id for r in spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id").collect()]
     want = sorted((hashlib.sha256(str(i).encode()).hexdigest(), i) for i in docs)
-    assert [(r.doc_id, r.blind_key) for r in audits.blind_order_all(spark, ROOT).collect()] == [(i, h[:16]) for h, i in want] and len(want) > 50
+    assert [(r.doc_id, r.blind_key) for r in audits.blind_order(spark, ROOT).collect()] == [(i, h[:16]) for h, i in want] and len(want) > 50

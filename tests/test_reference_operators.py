@@ -139,9 +139,13 @@ def test_alignment(spark):
         assert pages == sorted(pages)
         total = sum(p[1] for p in path if p) - 0.05 * sum(b - a for a, b in zip(pages, pages[1:]))
         assert abs(total - slow(items, 0.05)) < 1e-9
-    items = spark.createDataFrame([("d", "a", 1, "alpha beta gamma"), ("d", "b", 2, "delta epsilon zeta"), ("d", "c", 3, "nirgends etwas davon")], "document_id string, item_id string, place int, text string")
-    pages = spark.createDataFrame([("d", 1, "x alpha beta gamma y"), ("d", 2, "delta epsilon zeta"), ("d", 3, "alpha delta")], "document_id string, page int, text string")
-    assert {(r.item_id, r.page) for r in A.align(items, pages).collect()} == {("a", 1), ("b", 2)}
+    schema = "document_id string, item_id string, place int, text string, label string, title string"
+    words = lambda n, k=30: " ".join(f"w{chr(97 + n)}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(k))
+    both = words(7)
+    items = spark.createDataFrame([("d", "a", 1, words(0), "A", "Eins"), ("d", "b", 2, words(1, 60) + " " + words(2), None, None), ("d", "c", 3, words(9), None, None), ("d", "e", 4, both, None, None), ("d", "f", 5, "ein", None, None), ("x", "y", 1, words(3), None, None)], schema)
+    pages = spark.createDataFrame([("d", 1, "Inhaltsverzeichnis\n" + words(0, 20)), ("d", 2, "Eins " + words(0)), ("d", 3, words(1, 60)), ("d", 4, words(2)), ("d", 6, both), ("d", 9, both)], "document_id string, page int, text string")
+    got = {r.item_id: (r.page, r.end_page, r.issue) for r in A.align(items, pages).collect()}
+    assert got == {"a": (2, 2, None), "b": (3, 3, None), "c": (None, None, "no_page"), "e": (None, None, "ambiguous"), "y": (None, None, "no_page")} or got == {"a": (2, 2, None), "b": (3, 4, None), "c": (None, None, "no_page"), "e": (None, None, "ambiguous"), "y": (None, None, "no_page")}
     assert A.align(items.limit(0), pages).count() == 0
 
 
