@@ -127,6 +127,14 @@ def is_implementing(text: str) -> bool:
     return len(set(_IMPLEMENTING) - set(t)) <= 4 and distance(_IMPLEMENTING, t.replace(" ", ""), anywhere=True) <= 4
 
 
+_LETTERS = {s: [(c, s.count(c)) for c in sorted(set(s))] for s in _SUFFIXES}
+
+
+def _missing(s: str, text: str) -> int:
+    """Letters of a suffix that a text lacks: each edit makes up for one at most."""
+    return sum(max(0, n - text.count(c)) for c, n in _LETTERS[s])
+
+
 def _type_word_length(core: str) -> int:
     """Letters of the type word, possibly mistyped, that a core ends with; 0 if with none."""
     exact = max((len(s) for s in _SUFFIXES if core.endswith(s)), default=0)
@@ -135,7 +143,7 @@ def _type_word_length(core: str) -> int:
     best = None
     for s in _SUFFIXES:
         for n in range(len(s) - 1, len(s) + 2):
-            if len(core) > n + 5 and len(set(s) - set(core[-n:])) <= 2:
+            if len(core) > n + 5 and _missing(s, core[-n:]) <= 2:
                 d = distance(core[-n:], s)
                 if d <= 2 and (best is None or (d, -n) < best):
                     best = (d, -n)
