@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,3 +48,49 @@ def to_embed(passages: DataFrame, stored: DataFrame, key: list[str], cost: Colum
     first = missing.orderBy(*order).limit(int(budget // least_cost) + 1)
     total = F.sum("cost").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return first.withColumn("running_cost", total).where(F.col("running_cost") <= budget)
+
+
+def hash_embedding(text: str, dimensions: int = 64) -> list[float]:
+    """A vector of unit length without a model: each word adds to the places that its hash names. Equal texts are equal, texts that
+    share words are near; for tests and for work without a network. A text without words points to the first place."""
+    out = [0.0] * dimensions
+    for word in re.findall(r"\w+", text.casefold()):
+        digest = hashlib.sha256(word.encode()).digest()
+        for k in range(4):
+            out[int.from_bytes(digest[4 * k : 4 * k + 3], "big") % dimensions] += 1.0 if digest[4 * k + 3] & 1 else -1.0
+    length = math.sqrt(sum(x * x for x in out))
+    return [x / length for x in out] if length else [1.0] + [0.0] * (dimensions - 1)
+
+
+def _encode(encode: Callable[[list[str]], list[list[float]]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            vectors = encode(texts) if texts else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.list_(pa.float32()))], ["item_id", "vector"])
+
+    return run
+
+
+def embedded(texts: DataFrame, encode: Callable[[list[str]], list[list[float]]] = lambda texts: [hash_embedding(t) for t in texts]) -> DataFrame:
+    """texts(item_id, text) -> (item_id, vector) by any function that makes vectors of a list of texts, batch by batch."""
+    chosen = texts.where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    return chosen.mapInArrow(_encode(encode), "item_id string, vector array<float>")
+
+
+def build_plan(passages: DataFrame, stored: DataFrame, price_per_million: float, budget: float, buckets: int = 1024) -> DataFrame:
+    """passages(passage_id, input_hash, text), stored(passage_id, input_hash) -> (passage_id, input_hash, cost, state).
+
+    What is stored with the same hash is ``unchanged``. The others are ``planned`` as long as the running cost stays within the
+    budget, in the order of a hash, and ``budget_stopped`` from then on. The running sum is made by bucket and then inside of it.
+    """
+    known = stored.select("passage_id", "input_hash").distinct().withColumn("_known", F.lit(True))
+    rows = passages.join(known, ["passage_id", "input_hash"], "left").withColumn("cost", F.when(F.col("_known"), 0.0).otherwise((F.octet_length("text") + 64) * 3 * price_per_million / 1e6))
+    place = F.xxhash64("passage_id")
+    rows = rows.withColumns({"_place": place, "_bucket": F.pmod(F.shiftright(place, 40), F.lit(buckets))})
+    sums = rows.groupBy("_bucket").agg(F.sum("cost").alias("_sum"))
+    before = sums.select("_bucket", F.coalesce(F.sum("_sum").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_before"))  # a row a bucket
+    inside = F.sum("cost").over(Window.partitionBy("_bucket").orderBy("_place", "passage_id"))
+    total = rows.join(F.broadcast(before), "_bucket").withColumn("_total", F.col("_before") + inside)
+    state = F.when(F.col("_known"), "unchanged").when(F.col("_total") <= budget, "planned").otherwise("budget_stopped")
+    return total.select("passage_id", "input_hash", "cost", state.alias("state"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
-from ..operators import crossrefs, lookup, segments
+from ..operators import crossrefs, graph, lookup, segments, vectors
 from ..session import table
 from .reference import _KEY, C, R, U, chunks, references, units
 
@@ -364,3 +364,61 @@ def cited_targets(spark, root):
     texts = chunks(spark, root, "text").where("text is not null").join(u, "unit_id").select(F.col("chunk_id").alias("source_id"), "document_key", "unit_key", F.lit(None).cast("string").alias("context_key"), "text")
     laws = table(spark, root, "core_laws").select(F.col("law_key").alias("document_key"), "title", "short_title", "abbreviation")
     return crossrefs.references(texts, crossrefs.alias_index(laws, ["title", "short_title", "abbreviation"]), u.select(F.col("unit_key").alias("key")))
+
+
+@query(f"""with {U}, {C}, d as (select distinct document_id from u where document_id is not null), e as (
+select 'HAS_UNIT' as type, document_id as a, unit_id as b from u where document_id is not null and (parent_unit_id is null or trim(parent_unit_id) = '' or parent_unit_id not in (select unit_id from u)) union all
+select 'HAS_SUBUNIT', parent_unit_id, unit_id from u where parent_unit_id in (select unit_id from u) union all
+select 'HAS_CHUNK', unit_id, chunk_id from c where unit_id in (select unit_id from u) and (parent_chunk_id is null or trim(parent_chunk_id) = '') union all
+select 'HAS_PART', parent_chunk_id, chunk_id from c where parent_chunk_id in (select chunk_id from c))
+select 'rel_' || substr(sha256(type || '|' || a || '|' || b || '|'), 1, 16) as edge_id, type, a as start_node_id, b as end_node_id from (select distinct * from e)""")
+def content_graph(spark, root):
+    """The content graph's edges: a document's upper units, their units, their chunks and the parts of those."""
+    u, c = units(spark, root), chunks(spark, root)
+    ids = u.select(F.col("unit_id").alias("parent_unit_id")).distinct()
+    blank = lambda x: F.col(x).isNull() | (F.trim(x) == "")
+    top = u.where("document_id is not null").join(ids, "parent_unit_id", "left_anti")
+    below = u.join(ids, "parent_unit_id", "left_semi")
+    held = c.join(ids.withColumnRenamed("parent_unit_id", "unit_id"), "unit_id", "left_semi").where(blank("parent_chunk_id"))
+    parts = c.join(c.select(F.col("chunk_id").alias("parent_chunk_id")).distinct(), "parent_chunk_id", "left_semi")
+    kinds = (("HAS_UNIT", top, "document_id", "unit_id"), ("HAS_SUBUNIT", below, "parent_unit_id", "unit_id"), ("HAS_CHUNK", held, "unit_id", "chunk_id"), ("HAS_PART", parts, "parent_chunk_id", "chunk_id"))
+    out = [graph.edges(rows, kind, a, b) for kind, rows, a, b in kinds]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query(f"""with {C}, p as (select chunk_id as passage_id, sha256(text) as input_hash, strlen(text) as n from c where text is not null), v as (select distinct passage_id from passage_vectors where vector is not null)
+select p.passage_id, p.input_hash, case when v.passage_id is not null then 0 else round((n + 64) * 3 * 0.04 / 1e6, 12) end as cost, case when v.passage_id is not null then 'unchanged' else 'planned' end as state from p left join v using (passage_id)""")
+def vector_plan(spark, root):
+    """What there is to embed: passages with a vector are taken as unchanged, the others are planned within the budget."""
+    p = chunks(spark, root, "text").where("text is not null").select(F.col("chunk_id").alias("passage_id"), F.sha2("text", 256).alias("input_hash"), "text")
+    v = table(spark, root, "passage_vectors").where("vector is not null").select("passage_id").distinct()
+    plan = vectors.build_plan(p, p.join(v, "passage_id", "left_semi"), 0.04, 1000.0)
+    return plan.select("passage_id", "input_hash", F.round("cost", 12).alias("cost"), "state")
+
+
+@query("""with s as (select user_id, event_type, avg(value) as m from events group by 1, 2), p as (select user_id, max(m) filter (where event_type = 'view') as l, max(m) filter (where event_type = 'purchase') as r, count(*) as n_kinds, avg(m) as macro from s group by 1)
+select n_kinds, count(*) as n, round(avg(macro), 6) as mean, count(*) filter (where l - r > 5) as wins, count(*) filter (where abs(l - r) <= 5) as ties, count(*) filter (where r - l > 5) as losses from p group by 1""")
+def panel_means(spark, root):
+    """Unweighted means of means, and wins, ties and losses with a threshold."""
+    s = table(spark, root, "events").groupBy("user_id", "event_type").agg(F.avg("value").alias("m"))
+    of = lambda kind: F.max(F.when(F.col("event_type") == kind, F.col("m")))
+    p = s.groupBy("user_id").agg(of("view").alias("l"), of("purchase").alias("r"), F.count(F.lit(1)).alias("n_kinds"), F.avg("m").alias("macro"))
+    d = F.col("l") - F.col("r")
+    return p.groupBy("n_kinds").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("macro"), 6).alias("mean"), F.count_if(d > 5).alias("wins"), F.count_if(F.abs(d) <= 5).alias("ties"), F.count_if(d < -5).alias("losses"))
+
+
+@query("select distinct id, short_title, document_type, priority, nullif(trim(coalesce(landing_url, '')), '') as landing_url, array_to_string(list_filter([case when trim(coalesce(short_title, '')) <> '' then 'short_title' end, case when trim(coalesce(document_type, '')) <> '' then 'document_type' end, case when trim(coalesce(landing_url, '')) <> '' then 'landing_url' end, case when trim(coalesce(publication_date, '')) <> '' then 'publication_date' end], lambda x: x is not null), ',') as fields from register_documents")
+def full_projection(spark, root):
+    """The fields of a full answer, and which of the optional ones an entry has."""
+    d = table(spark, root, "register_documents")
+    there = F.array_compact(F.array(*[F.when(F.trim(F.coalesce(c, F.lit(""))) != "", F.lit(c)) for c in ("short_title", "document_type", "landing_url", "publication_date")]))
+    return d.select("id", "short_title", "document_type", "priority", F.when(F.trim(F.coalesce("landing_url", F.lit(""))) != "", F.trim("landing_url")).alias("landing_url"), F.array_join(there, ",").alias("fields")).distinct()
+
+
+@query(f"""with k as (select law_key as id, title, case when jurisdiction = 'EU' then 'eurlex' else 'gii' end as kind from core_laws), r as (select id, max(struct_pack(t := registered_at, title := title, kind := source_kind, s := corpus_status, v := valid_from)) as m from register_documents where id is not null group by 1)
+select id, r.m.title as title, r.m.kind as source_kind, case when r.m.kind = 'collection' then r.m.v end as valid_from, case when lower(trim(coalesce(r.m.s, ''))) = 'removed' then 'not_in_force' else 'unknown' end as legal_status from r""")
+def result_rows(spark, root):
+    """Rows of a result: internal fields dropped, some only for entries of a collection, the standing added."""
+    r = table(spark, root, "register_documents").where("id is not null").groupBy("id").agg(F.max(F.struct(F.col("registered_at").alias("t"), "title", F.col("source_kind").alias("kind"), F.col("corpus_status").alias("s"), F.col("valid_from").alias("v"))).alias("m"))
+    status = F.when(F.lower(F.trim(F.coalesce("m.s", F.lit("")))) == "removed", "not_in_force").otherwise("unknown")
+    return r.select("id", "m.title", F.col("m.kind").alias("source_kind"), F.when(F.col("m.kind") == "collection", F.col("m.v")).alias("valid_from"), status.alias("legal_status"))

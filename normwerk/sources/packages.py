@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import io
 import re
+import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 
@@ -115,3 +116,36 @@ def issues(opened: DataFrame) -> DataFrame:
 
 def good(opened: DataFrame) -> DataFrame:
     return opened.where(F.col("issue").isNull())
+
+
+def fault(data: bytes, kind: str) -> str | None:
+    """What is wrong with the bytes of a file of a kind: pdf, zip, xml or xhtml; null if nothing is seen."""
+    if not data:
+        return "empty"
+    if kind == "pdf":
+        return None if data.startswith(b"%PDF-") and b"%%EOF" in data[-2048:] else "no_pdf"
+    if kind == "zip":
+        try:
+            with zipfile.ZipFile(io.BytesIO(data)) as z:
+                return "damaged_member" if z.testzip() else None if z.namelist() else "empty_archive"
+        except (zipfile.BadZipFile, RuntimeError, NotImplementedError):
+            return "no_zip"
+    try:
+        preflight(data)
+        root = ET.fromstring(data)
+    except Refused as e:
+        return str(e)
+    except (ET.ParseError, ValueError):
+        return "no_xml"
+    return "no_html" if kind == "xhtml" and root.tag.rsplit("}", 1)[-1].lower() != "html" else None
+
+
+def _faults(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [fault(d, k) for d, k in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["path", "fault"])
+
+
+def file_faults(files: DataFrame) -> DataFrame:
+    """files(path, content, kind) -> (path, fault) of the files with one."""
+    return files.select("path", "content", "kind").mapInArrow(_faults, "path string, fault string").where("fault is not null")

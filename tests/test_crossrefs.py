@@ -8,17 +8,38 @@ LAWS = [("hafen", "Hafenordnung", "HafenO"), ("lotse", "Deutsches Lotsgesetz", "
 KEYS = ["hafen", "hafen_para_3", "hafen_para_4", "hafen_para_4_abs_2", "hafen_para_9", "hafen_para_9_abs_1", "hafen_para_9_abs_2", "hafen_art_2", "hafen_anlage_1", "lotse", "lotse_para_3", "lotse_para_5", "lotse_para_7", "verordnung_eu_2016_679", "verordnung_eu_2016_679_art_6", "tafel_para_8"]
 
 
-def refs(spark, text, unit="hafen_para_9_abs_1", context=None):
-    chunks = spark.createDataFrame([("c", "hafen", unit, context, text)], "source_id string, document_key string, unit_key string, context_key string, text string")
+# text, enclosing unit, table context, what is found
+I, X, MISSING = "internal", "exact", "target_unit_missing"
+CASES = [
+    ("Nach § 4 Abs. 2 Nr. 1 und § 77 gilt Anlage 8.", None, [("hafen_para_4_abs_2", I, X), ("hafen_para_77", I, MISSING), ("hafen_anlage_8", I, MISSING)]),
+    ("Artikel 2 und Artikel 99 gelten.", None, [("hafen_art_2", I, X)]),  # articles only if there
+    ("Absatz 2 und Absatz 7 gelten nicht.", None, [("hafen_para_9_abs_2", "bare", X)]),
+    ("§ 3 Abs. 9 gilt.", None, [("hafen_para_3_abs_9", I, "nearest_ancestor")]),
+    ("§ 9 Abs. 1 gilt.", None, []),  # the unit itself
+    ("Es gilt § 5 LotsG.", None, [("lotse_para_5", "external_name", X)]),
+    ("Es gelten § 3, § 5 und § 7 des Deutschen Lotsgesetzes.", None, [("lotse_para_3", "external_chain", X), ("lotse_para_5", "external_chain", X), ("lotse_para_7", "external_name", X)]),
+    ("§ 5 LotsG gilt. Ferner § 7 desselben Gesetzes.", None, [("lotse_para_5", "external_name", X), ("lotse_para_7", "external_back", X)]),
+    ("§ 4 der Hafenordnung gilt.", None, [("hafen_para_4", I, X)]),  # its own name
+    ("§ 3 des Doppelgesetzes gilt.", None, [("hafen_para_3", I, X)]),  # an ambiguous name names nothing
+    ("nach Artikel 6 der Verordnung (EU) 2016/679 zulässig", None, [("verordnung_eu_2016_679_art_6", "external_act", X)]),
+    ("die Durchführungsverordnung (EU) 2016/679 gilt", None, [("verordnung_eu_2016_679", "external_act", X)]),
+    ("die Richtlinie 2008/98/EG gilt", None, [("richtlinie_2008_98_eg", "external_act", MISSING)]),
+    ("Das Deutsche Lotsgesetz wird wie folgt geändert:\n1. § 5 wird aufgehoben.\n2. In § 7 wird das Wort gestrichen.", None, [("lotse_para_5", "scope", X), ("lotse_para_7", "scope", X)]),
+    ("siehe § 8 und § 3", "tafel", [("tafel_para_8", "context", X), ("hafen_para_3", I, X)]),
+    ("nichts", None, []), ("", None, []), (None, None, []),
+]
+
+
+def test_what_citations_mean(spark):
+    rows = [(str(i), "hafen", "hafen_para_9_abs_1", context, text) for i, (text, context, _) in enumerate(CASES)]
+    chunks = spark.createDataFrame(rows, "source_id string, document_key string, unit_key string, context_key string, text string")
     aliases = crossrefs.alias_index(spark.createDataFrame(LAWS, "document_key string, title string, abbreviation string"), ["title", "abbreviation"])
     targets = spark.createDataFrame([(k,) for k in KEYS], "key string")
-    out = crossrefs.references(chunks, aliases, targets).collect()
-    assert all(r.mention_text == text[r.char_start : r.char_end] for r in out)
-    return sorted((r.char_start, r.requested_key, r.reference_kind, r.resolution) for r in out)
-
-
-def keyed(*args, **kw):
-    return [(k, kind, res) for _, k, kind, res in refs(*args, **kw)]
+    got = {i: [] for i in range(len(CASES))}
+    for r in crossrefs.references(chunks, aliases, targets).collect():
+        assert r.mention_text == CASES[int(r.source_id)][0][r.char_start : r.char_end]
+        got[int(r.source_id)].append((r.char_start, r.requested_key, r.reference_kind, r.resolution))
+    assert {i: [x[1:] for x in sorted(v)] for i, v in got.items()} == {i: c[2] for i, c in enumerate(CASES)}
 
 
 def test_lists_and_ranges():
@@ -30,33 +51,6 @@ def test_lists_and_ranges():
     assert citations.target_keys("Art.", "4 Abs. 2") == ["art_4"]
 
 
-def test_internal(spark):
-    assert keyed(spark, "Nach § 4 Abs. 2 Nr. 1 und § 77 gilt Anlage 8.") == [("hafen_para_4_abs_2", "internal", "exact"), ("hafen_para_77", "internal", "target_unit_missing"), ("hafen_anlage_8", "internal", "target_unit_missing")]
-    assert keyed(spark, "Artikel 2 und Artikel 99 gelten.") == [("hafen_art_2", "internal", "exact")]  # articles only if there
-    assert keyed(spark, "Absatz 2 und Absatz 7 gelten nicht.") == [("hafen_para_9_abs_2", "bare", "exact")]
-    assert keyed(spark, "§ 3 Abs. 9 gilt.") == [("hafen_para_3_abs_9", "internal", "nearest_ancestor")]
-    assert keyed(spark, "§ 9 Abs. 1 gilt.") == []  # the unit itself
-
-
-def test_names_and_chains(spark):
-    assert keyed(spark, "Es gilt § 5 LotsG.") == [("lotse_para_5", "external_name", "exact")]
-    assert keyed(spark, "Es gelten § 3, § 5 und § 7 des Deutschen Lotsgesetzes.") == [("lotse_para_3", "external_chain", "exact"), ("lotse_para_5", "external_chain", "exact"), ("lotse_para_7", "external_name", "exact")]
-    assert keyed(spark, "§ 5 LotsG gilt. Ferner § 7 desselben Gesetzes.") == [("lotse_para_5", "external_name", "exact"), ("lotse_para_7", "external_back", "exact")]
-    assert keyed(spark, "§ 4 der Hafenordnung gilt.") == [("hafen_para_4", "internal", "exact")]  # its own name
-    assert keyed(spark, "§ 3 des Doppelgesetzes gilt.") == [("hafen_para_3", "internal", "exact")]  # an ambiguous name names nothing
-
-
-def test_acts_and_headings(spark):
-    assert keyed(spark, "nach Artikel 6 der Verordnung (EU) 2016/679 zulässig") == [("verordnung_eu_2016_679_art_6", "external_act", "exact")]
-    assert keyed(spark, "die Durchführungsverordnung (EU) 2016/679 gilt")[0][:2] == ("verordnung_eu_2016_679", "external_act")
-    assert keyed(spark, "die Richtlinie 2008/98/EG gilt") == [("richtlinie_2008_98_eg", "external_act", "target_unit_missing")]
-    assert keyed(spark, "Das Deutsche Lotsgesetz wird wie folgt geändert:\n1. § 5 wird aufgehoben.\n2. In § 7 wird das Wort gestrichen.") == [("lotse_para_5", "scope", "exact"), ("lotse_para_7", "scope", "exact")]
-
-
-def test_table_context(spark):
-    assert keyed(spark, "siehe § 8 und § 3", context="tafel") == [("tafel_para_8", "context", "exact"), ("hafen_para_3", "internal", "exact")]
-
-
 def test_rollup_and_levels(spark):
     r = spark.createDataFrame([("c1", "lotse", "lotse_para_5_abs_9", "lotse_para_5"), ("c1", "fern", "fern_para_1", None), ("c2", "hafen", "hafen_para_3", "hafen_para_3")], "source_id string, target_document_key string, requested_key string, resolved_key string")
     s = spark.createDataFrame([("c1", "u1", "d1"), ("c2", "u2", "d1")], "source_id string, unit_id string, document_id string")

@@ -164,3 +164,27 @@ def test_more_sinks(spark, tmp_path):
     for status in ("start", "done"):
         sinks.store_runs(spark.createDataFrame([("r1" if status == "start" else "r2", status), ("r2", status)], "run_id string, status string").dropDuplicates(), at("runs"))
     assert {(r.run_id, r.status) for r in spark.read.parquet(at("runs")).collect()} == {("r1", "start"), ("r2", "done")}
+
+
+def test_file_faults(spark, tmp_path):
+    from normwerk.sources import packages
+
+    with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
+        z.writestr("a", "b")
+    good = (tmp_path / "z.zip").read_bytes()
+    cases = [("p", b"%PDF-1.7 x %%EOF", "pdf", None), ("q", b"%PDF-1.7 x", "pdf", "no_pdf"), ("z", good, "zip", None), ("y", good[:20], "zip", "no_zip"), ("x", b"<a/>", "xml", None), ("w", b"<a>", "xml", "no_xml"), ("h", b"<a/>", "xhtml", "no_html"), ("e", b"", "xml", "empty"), ("d", b"<!DOCTYPE a [<!ELEMENT a ANY>]><a/>", "xml", "internal_dtd")]
+    df = spark.createDataFrame([(p, bytearray(d), k) for p, d, k, _ in cases], "path string, content binary, kind string")
+    assert {r.path: r.fault for r in packages.file_faults(df).collect()} == {p: f for p, _, _, f in cases if f}
+
+
+def test_embedding_and_plan(spark):
+    from normwerk.operators import vectors as V
+
+    a, b, c = V.hash_embedding("Deich und Siel"), V.hash_embedding("siel UND deich"), V.hash_embedding("Drachen")
+    dot = lambda x, y: sum(p * q for p, q in zip(x, y))
+    assert abs(dot(a, b) - 1) < 1e-9 and dot(a, c) < 0.9 and abs(dot(V.hash_embedding(""), V.hash_embedding("")) - 1) < 1e-9
+    texts = spark.createDataFrame([("1", "Deich"), ("2", None)], "item_id string, text string")
+    assert [(r.item_id, len(r.vector)) for r in V.embedded(texts).collect()] == [("1", 64)]
+    p = spark.createDataFrame([(str(i), "h", "x" * 936) for i in range(20)], "passage_id string, input_hash string, text string")
+    plan = V.build_plan(p, p.limit(5), 1e6 / 3, 10_500.0, buckets=4).collect()
+    assert sorted(r.state for r in plan) == ["budget_stopped"] * 5 + ["planned"] * 10 + ["unchanged"] * 5
