@@ -69,16 +69,16 @@ def p7_repaired(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
-    return leakage.leaks(table(spark, root, "documents", heavy=True), table(spark, root, "eval_cases")).select("doc_id", "item_id")
+    return leakage.leaks(table(spark, root, "documents", True, ("doc_id", "text")), table(spark, root, "eval_cases")).select("doc_id", "item_id")
 
 
 def p8_leaks(spark: SparkSession, root: str) -> DataFrame:
     """Every leak with the longest shared run and the share of the item that it is."""
-    return leakage.leaks(table(spark, root, "documents", heavy=True), table(spark, root, "eval_cases")).withColumn("item_share", F.round("item_share", 6))
+    return leakage.leaks(table(spark, root, "documents", True, ("doc_id", "text")), table(spark, root, "eval_cases")).withColumn("item_share", F.round("item_share", 6))
 
 
 def _mixture(spark: SparkSession, root: str) -> mixing.Mixture:
-    return mixing.mix(mixing.count_tokens(table(spark, root, "documents", heavy=True)), table(spark, root, "mix_targets"))
+    return mixing.mix(mixing.count_tokens(table(spark, root, "documents", True, ("doc_id", "source", "text"))), table(spark, root, "mix_targets"))
 
 
 def p9_mixture(spark: SparkSession, root: str) -> DataFrame:
@@ -95,12 +95,12 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
-    return residue.residue(table(spark, root, "documents", heavy=True).select("doc_id", "text")).where("has_placeholder or is_page or is_filler").select("doc_id").distinct()
+    return residue.residue(table(spark, root, "documents", True, ("doc_id", "text"))).where("has_placeholder or is_page or is_filler").select("doc_id").distinct()
 
 
 def p10_clean(spark: SparkSession, root: str) -> DataFrame:
     """The documents that are left, without their texts."""
-    return residue.without_residue(table(spark, root, "documents", heavy=True).select("doc_id", "source", "text")).drop("text")
+    return residue.without_residue(table(spark, root, "documents", True, ("doc_id", "source", "text"))).drop("text")
 
 
 QUERIES = {
