@@ -60,18 +60,18 @@ def p4_descendants(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
-    tagged = nested.flatten(table(spark, root, "raw_payloads", heavy=True))
+    tagged = nested.flatten(table(spark, root, "raw_payloads", True, ("payload_id", "payload")))
     return tagged.where("record_kind <> 'invalid'").select("payload_id", "record_kind", "record_id", "parent_id").distinct()
 
 
 def p5_records(spark: SparkSession, root: str) -> DataFrame:
     """The tagged rows themselves, fields included; repeated payloads once."""
-    return nested.flatten(table(spark, root, "raw_payloads", heavy=True)).distinct()
+    return nested.flatten(table(spark, root, "raw_payloads", True, ("payload_id", "payload"))).distinct()
 
 
 def p5_chunks(spark: SparkSession, root: str) -> DataFrame:
     """One of the flat tables that the tags make: all chunks of all payloads."""
-    return nested.typed_table(nested.flatten(table(spark, root, "raw_payloads", heavy=True)).distinct(), "chunk")
+    return nested.typed_table(nested.flatten(table(spark, root, "raw_payloads", True, ("payload_id", "payload"))).distinct(), "chunk")
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_orphans, p3_by_month, p4_found, p4_hierarchy, p4_descendants, p5_found, p5_records, p5_chunks)}

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..durable import shared_folder
 from ..functions import normalize as N
 from ..operators import citations, evaluate, fulltext, graph, hierarchy, lookup, quality, segments, tables, vectors
+from ..operators import index as ix
 from ..session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,19 +73,40 @@ def _bm25_sql(terms: list[str], scope: str = "true", keep: str = "has_all or not
     )
 
 
+_indexes: dict[tuple[str, str], ix.Index] = {}
+
+
+def _corpus(spark, root) -> ix.Index:
+    """The stored index of all document texts, built once a session; a search then reads the postings of its terms only."""
+    at = (spark.sparkContext.applicationId, root)
+    if at not in _indexes:
+        d = table(spark, root, "documents", True, ("doc_id", "source", "text")).select(F.format_string("%020d", "doc_id").alias("document_id"), F.lower(F.trim("source")).alias("source_kind"), "text")
+        text = lambda *names: [F.lit(None).cast("string").alias(c) for c in names]
+        none = d.limit(0)
+        units = none.select("document_id", *text("unit_id", "label", "title", "legal_citation", "global_key", "unit_type", "number"))
+        passages = d.select(F.col("document_id").alias("passage_id"), "document_id", "text", *text("title", "legal_citation"))
+        _indexes[at] = ix.build(d.drop("text"), none.select("document_id", *text("alias")), units, passages, f"{shared_folder(spark)}/normwerk/index-{uuid.uuid4().hex}")
+    return _indexes[at]
+
+
+def _ranked(spark, root, asked: str, scope: dict[str, str | None] | None = None, mode: str = "auto"):
+    hits = _corpus(spark, root).search("passages", asked, scope, 10, mode=mode)
+    return hits.select(F.col("item_id").cast("bigint").alias("doc_id"), "score", "rank", "relation")
+
+
 @query(_bm25_sql(["behorde", "antrag", "frist"]))
 def bm25_search(spark, root):
-    return fulltext.bm25(table(spark, root, "documents", heavy=True), "doc_id", "text", "Behörde Antrag Frist")
+    return _ranked(spark, root, "Behörde Antrag Frist")
 
 
 @query(_bm25_sql(["erlaubnis", "quarry", "xylophon"]))
 def bm25_or_fallback(spark, root):
-    return fulltext.bm25(table(spark, root, "documents", heavy=True), "doc_id", "text", "Erlaubnis quarry Xylophon")
+    return _ranked(spark, root, "Erlaubnis quarry Xylophon")
 
 
 @query(_bm25_sql(["anlage", "ergebnisse"], scope="lower(trim(source)) = 'gii'", keep="has_all"))
 def bm25_and_scoped(spark, root):
-    return fulltext.bm25(table(spark, root, "documents", heavy=True), "doc_id", "text", "Anlage Ergebnisse", scope=F.lower(F.trim("source")) == "gii", mode="and")
+    return _ranked(spark, root, "Anlage Ergebnisse", {"source_kind": ix.corpus_name("DE")}, "and")
 
 
 @query("""with n as (select count(*) as n from documents), t as (select unnest(list_distinct(regexp_extract_all(translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[0-9a-zß]+'))) as term from documents)

@@ -24,19 +24,29 @@ def build_session(master: str | None = None, app: str = "normwerk", **conf: str)
     return builder.config(map=DEFAULTS | conf).getOrCreate()
 
 
-def table(spark: SparkSession, root: str, name: str, heavy: bool = False) -> DataFrame:
-    """One Parquet table of a data directory (a file or a directory of files).
+#: Largest table, in bytes of its files, that is dealt out to idle cores; beyond, a shuffle of it costs more than it spares.
+DEALT_BYTES = 2**30
 
-    ``heavy``: each row takes long to work out. A table in fewer parts than there are cores, such as one small file, is then
-    dealt out to all of them; a table of many parts is read as it lies, without a shuffle.
+
+def table(spark: SparkSession, root: str, name: str, heavy: bool = False, columns: tuple[str, ...] = ()) -> DataFrame:
+    """One Parquet table of a data directory (a file or a directory of files), all columns or those named.
+
+    ``heavy``: each row takes long to work out. A small table in fewer parts than there are cores is then dealt out to all of
+    them; a table of many parts, or a large one, is read as it lies, without a shuffle.
     """
     df = spark.read.parquet(f"{root}/{name}.parquet")
-    if heavy and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+    if columns:
+        df = df.select(*columns)
+    if heavy and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism and _file_bytes(df) <= DEALT_BYTES:
         # each row through a generator: the optimiser would else move filters, and their work, before the exchange
         return spread(df).select(F.explode(F.array(F.struct(*df.columns))).alias("r")).select("r.*")
     return df
 
 
+def _file_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """As many partitions as the session works on at once, however small the data: for rows that take long to work out each.
 
