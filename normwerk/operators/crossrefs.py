@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import forms
 from ..functions import normalize as N
+from ..skew import salted_left_join
 from . import citations, lookup
 
 #: Most words of a law's name, and letters between an article and the act it belongs to.
@@ -183,7 +184,9 @@ def edges(refs: DataFrame, sources: DataFrame, targets: DataFrame) -> DataFrame:
     """
     t = targets.select(F.col("key").alias("resolved_key"), F.col("chunk_id").alias("tc"), F.col("unit_id").alias("tu"), F.col("document_id").alias("td"))
     known = targets.groupBy(F.col("document_key").alias("target_document_key")).agg(F.min("document_id").alias("kd")) if "document_key" in targets.columns else None
-    rows = refs.join(sources, "source_id").join(t, "resolved_key", "left")
+    # a few targets are named by a large part of all references; one that is not resolved has the key of none
+    rows = refs.join(sources, "source_id").withColumn("resolved_key", F.coalesce("resolved_key", F.lit("")))
+    rows = salted_left_join(rows, t.where("resolved_key <> ''"), ["resolved_key"], [F.col("source_id")])
     rows = rows.join(known, "target_document_key", "left") if known is not None else rows.withColumn("kd", F.lit(None).cast("string"))
     place = lambda c: F.concat(F.lit("target:"), c)
     end = lambda level, start, node, name: rows.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..durable import materialize
 from ..functions import normalize as N
+from ..skew import salted_left_join
 
 
 def edge_id(kind: Column, start: Column, end: Column, qualifier: Column | None = None) -> Column:
@@ -79,7 +80,8 @@ def rollup(references: DataFrame, chunk: str, unit: str, document: str, target:
 
     target(key, unit_id, document_id). No edge from a unit or document to itself.
     """
-    hit = references.join(target.withColumnsRenamed({"unit_id": "_tu", "document_id": "_td"}), "key")
+    # a few targets are named by a large part of all references
+    hit = salted_left_join(references.where("key is not null"), target.withColumnsRenamed({"unit_id": "_tu", "document_id": "_td"}), ["key"], [F.col(chunk), F.col(unit)], how="inner")
     level = lambda name, a, b: hit.select(F.lit(name).alias("level"), F.col(a).alias("start_node_id"), F.col(b).alias("end_node_id"))
     every = level("chunk", chunk, "_tu").unionByName(level("unit", unit, "_tu")).unionByName(level("document", document, "_td"))
     return every.where("start_node_id <> end_node_id").distinct()

@@ -398,7 +398,7 @@ def vector_plan(spark, root):
 
 @query("""with s as (select user_id, event_type, avg(value) as m from events group by 1, 2), p as (select user_id, max(m) filter (where event_type = 'view') as l, max(m) filter (where event_type = 'purchase') as r, count(*) as n_kinds, avg(m) as macro from s group by 1)
 select n_kinds, count(*) as n, round(avg(macro), 6) as mean, count(*) filter (where l - r > 5) as wins, count(*) filter (where abs(l - r) <= 5) as ties, count(*) filter (where r - l > 5) as losses from p group by 1""")
-def panel_means(spark, root):
+def macro_means(spark, root):
     """Unweighted means of means, and wins, ties and losses with a threshold."""
     s = table(spark, root, "events").groupBy("user_id", "event_type").agg(F.avg("value").alias("m"))
     of = lambda kind: F.max(F.when(F.col("event_type") == kind, F.col("m")))

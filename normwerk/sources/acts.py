@@ -189,7 +189,7 @@ def norms(root: ET.Element, data: str) -> Iterator[tuple[str, str, str, int, dic
         row = unit(f"{prefix}_{slug(label)}", parent, {"unit_type": kind, "label": label, "title": title})
         yield row
         body = norm.find("textdaten/text")
-        held: list[tuple[list[str], list[list[str]]]] = []
+        held: list[tuple[list[str], list[list[str]], bool]] = []
         pending = False
         for p in body.iter() if body is not None else ():
             if p.tag == "P":
@@ -198,16 +198,22 @@ def norms(root: ET.Element, data: str) -> Iterator[tuple[str, str, str, int, dic
                 if text:
                     position += 1
                     yield "chunk", f"chunk_{document}_{position:06d}", row[1], position, {"chunk_type": "toc" if kind == "toc" else "text", "text": text}
-            elif p.tag == "tgroup":
-                table = cals(p)
-                merged = continue_table(held[-1], table) if held and pending else None
+            elif p.tag == "table":
+                # groups of the same columns are one table; others stand beside it and are flagged
+                groups: list[tuple[list[str], list[list[str]]]] = []
+                for columns, lines in map(cals, p.iter("tgroup")):
+                    if groups and groups[-1][0] == columns:
+                        groups[-1] = (columns, groups[-1][1] + lines)
+                    else:
+                        groups.append((columns, lines))
+                merged = continue_table(held[-1][:2], groups[0]) if held and pending and groups else None
                 if merged:
-                    held[-1] = merged
-                else:
-                    held.append(table)
+                    held[-1] = (*merged, held[-1][2] or len(groups) > 1)
+                    groups = groups[1:]
+                held += [(*g, len(groups) > 1) for g in groups]
                 pending = False
-        for columns, lines in held:
-            table_row = unit(f"{row[4]['global_key']}_tabelle_{len([1 for n in names if n.startswith(row[4]['global_key'] + '_tabelle_')]) + 1}", row[1], {"unit_type": "table", "label": label, "title": title, "columns": columns, "row_count": len(lines)})
+        for columns, lines, several in held:
+            table_row = unit(f"{row[4]['global_key']}_tabelle_{len([1 for n in names if n.startswith(row[4]['global_key'] + '_tabelle_')]) + 1}", row[1], {"unit_type": "table", "label": label, "title": title, "columns": columns, "row_count": len(lines), "multi_tgroup_layout": several})
             yield table_row
             for i, line in enumerate(lines):
                 yield "table_row", f"{table_row[1]}_r{i}", table_row[1], i, {"cells": dict(zip(columns, line))}

@@ -39,7 +39,7 @@ def journal(spark: SparkSession, path: str) -> DataFrame:
     lines = lines.withColumn("line", F.struct("block", "place"))
     parsed = lines.where("trim(value) <> ''").withColumn("r", F.from_json("value", fields, {"columnNameOfCorruptRecord": "_damaged"}))
     last = parsed.groupBy("file").agg(F.max("line").alias("last"))
-    checked = parsed.join(F.broadcast(last), "file")  # one row a file
+    checked = parsed.join(last, "file")
     torn = F.col("r").isNull() | F.col("r._damaged").isNotNull() | F.col("r.item_id").isNull()
     # one expression, so that no part of it can be applied before the damaged lines are seen
     item = F.when(torn & (F.col("line") < F.col("last")), F.raise_error(F.lit("a damaged journal line")).cast("string")).when(~torn, F.col("r.item_id"))

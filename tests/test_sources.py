@@ -86,6 +86,15 @@ def test_statute_of_norms():
     assert rows[unit("para_4_tabelle_1") + "_r1"][2]["cells"] == {"Baum": "Fichte", "Tage": "12"}
 
 
+def test_groups_of_one_table():
+    group = lambda head, *rows: grid(head, rows)[len("<table>") : -len("</table>")]
+    same = f"<table>{group(['a', 'b'], ['1', '2'])}{group(['a', 'b'], ['3', '4'])}</table>"
+    other = f"<table>{group(['a', 'b'], ['5', '6'])}{group(['c'], ['7'])}</table>"
+    rows = rows_of(f"<dokumente doknr='T'>{norm()}{norm('§ 1', 'x', same + other)}</dokumente>")
+    tables = [r[2] for r in rows.values() if r[2].get("unit_type") == "table"]
+    assert [(t["columns"], t["row_count"], t["multi_tgroup_layout"]) for t in tables] == [(["a", "b"], 2, False), (["a", "b"], 1, True), (["c"], 1, True)]
+
+
 def test_acts_of_articles():
     rows = rows_of(REEF)
     [doc] = [i for i, r in rows.items() if r[0] == "document"]
