@@ -423,10 +423,11 @@ def full_outer_reconcile(spark, root):
 # ---- order, segments, sets ----
 
 
-@query(f"with {U} select unit_id, document_key, case when n = 1 then document_key else document_key || '_part_' || n end as unique_name from (select unit_id, document_key, row_number() over (partition by document_key order by loaded_at, unit_id) as n from u where unit_type = 'document_body')")
+@query(f"with {U} select unit_id, legal_citation, case when n = 1 then legal_citation else legal_citation || '_part_' || n end as unique_name from (select unit_id, legal_citation, row_number() over (partition by legal_citation order by loaded_at, unit_id) as n from u where legal_citation is not null)")
 def running_suffix(spark, root):
-    rows = units(spark, root).where("unit_type = 'document_body'").select("unit_id", "document_key", "loaded_at")
-    return segments.running_suffix(rows, "document_key", ["loaded_at", "unit_id"]).select("unit_id", "document_key", "unique_name")
+    """Every unit's citation made a name of its own: the second one of a citation gets a suffix, and so on."""
+    rows = units(spark, root).where("legal_citation is not null").select("unit_id", "legal_citation", "loaded_at")
+    return segments.running_suffix(rows, "legal_citation", ["loaded_at", "unit_id"]).select("unit_id", "legal_citation", "unique_name")
 
 
 @query(f"with {U}, s as (select document_id, unit_id, sequence, sum(case when unit_type in ('division', 'annex') then 1 else 0 end) over (partition by document_id order by sequence nulls first, unit_id rows unbounded preceding) as segment from u) select document_id, segment::bigint as segment, count(*) as n_units, min(sequence) as first_sequence from s group by 1, 2")
