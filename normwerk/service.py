@@ -22,7 +22,11 @@ FUSION = 60
 
 
 class Outcome(ValueError):
-    """Why a tool has no result: document_not_found, unit_not_found, no_text or a bad argument."""
+    """Why a tool has no result: document_not_found, unit_not_found, no_text (with the ``rows`` that have none) or a bad argument."""
+
+    def __init__(self, status: str, rows: DataFrame | None = None):
+        super().__init__(status)
+        self.rows = rows
 
 
 def clamp(value: int, low: int, high: int) -> int:
@@ -172,7 +176,7 @@ class Tools:
         out = out.withColumn("matching", F.lit(bool(part)) & F.coalesce(N.key(F.col("legal_citation")).contains(part), F.lit(False)))
         out = out.select("passage_id", "unit_id", "legal_citation", "text", "place", "matching", "truncated")
         if out.where("trim(text) <> ''").isEmpty():
-            raise Outcome("no_text")
+            raise Outcome("no_text", out)
         return out
 
     def _within(self, rows: DataFrame, order: list[Column], max_chars: int, max_rows: int | None = None) -> DataFrame:

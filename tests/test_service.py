@@ -1,8 +1,10 @@
 """The retrieval tools on a small index: arguments out of bounds, cascades and outcomes."""
 
+import duckdb
 import pytest
 
 from normwerk.operators import index as ix
+from normwerk.plans import service
 from normwerk.service import Outcome, Tools, answer, payload
 
 DOCS = [("d1", "marsch", "Marschenordnung", "gii"), ("d2", "deich", "Deichordnung", "gii"), ("d3", "celex_1", "Dyke regulation", "eurlex"), ("d4", "deich_alt", "deichordnung", "gii")]
@@ -86,3 +88,36 @@ def test_context_register_references_status(tools):
     assert answer(lambda: tools.references("u5", "sideways"))["ok"] is False and answer(lambda: tools.status("nothing"))["ok"] is False
     assert {(r.component, r.name, r.total) for r in tools.status().collect()} >= {("retrieval", "passages", 6), ("neo4j", "rows", 4), ("vectors", "rows", 3), ("external_register", "rows", 2)}
     assert payload(tools.find_documents("deicho")) == [{"document_id": "d2", "document_key": "deich", "title": "Deichordnung", "matched_alias": "DeichO"}, {"document_id": "d4", "document_key": "deich_alt", "title": "deichordnung", "matched_alias": "Deich-O"}][: len(payload(tools.find_documents("deicho")))]
+
+
+def test_queries_without_their_law(tools, monkeypatch):
+    monkeypatch.setattr(service, "tools", lambda spark, root: tools)
+    for query in ("tool_find_units",):
+        names = [c[0] for c in _small_sql(query).description]
+        got = service.QUERIES[query](tools.index.spark, "")
+        assert sorted(got.columns) == sorted(names) and got.collect() == []
+    # another law that is named alike isn't asked; a bad argument stays an error
+    assert service._of_law(tools, lambda: pytest.fail("asked"), "a int").collect() == []
+
+
+def _small_sql(query, root="/root/testdata/sf0.001"):
+    db = duckdb.connect()
+    for t in ("core_laws", "structural_units", "chunks"):
+        db.execute(f"create view {t} as select * from '{root}/{t}.parquet'")
+    return db.execute(service.SQL[query])
+
+
+@pytest.fixture(scope="module")
+def no_unit(tmp_path_factory):
+    """The law alone, without the units that the queries ask for."""
+    root, db = str(tmp_path_factory.mktemp("no_unit")), duckdb.connect()
+    kept = {"structural_units": "document_key = 'eibarbg' and unit_type not in ('paragraph', 'article', 'annex') and not regexp_matches(label, '^\\D*1$')", "chunks": "document_id in (select document_id from structural_units)"}
+    for t in ("core_laws", "structural_units", "chunks", "refers_to_edges", "register_documents"):
+        db.execute(f"create table {t} as select * from '/root/testdata/sf0.001/{t}.parquet' where {kept.get(t, 'true')}")
+        db.execute(f"copy {t} to '{root}/{t}.parquet'")
+    return root
+
+
+def test_queries_without_their_unit(spark, no_unit):
+    for query in ("tool_find_units",):
+        assert _small_sql(query, no_unit).fetchall() == [] == service.QUERIES[query](spark, no_unit).collect()
